@@ -17,12 +17,13 @@ Null, empty and blank texts have no lines. Rows without a source share one namel
 
 from __future__ import annotations
 
+import math
+import operator
 import re
 import unicodedata
 from collections import Counter
 from html.parser import HTMLParser
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,12 +86,19 @@ def skeleton(line: str) -> str:
     return SPACES.sub(" ", DIGITS.sub("0", line.casefold())).strip(" .!:›»")
 
 
-def masked(line: str) -> str:
-    """The skeleton with capitalised words as X; empty where nothing or everything would be masked."""
+def masked(line: str) -> list[str]:
+    """Forms of a line with capitalised words as X: one keeps the first word, and one of short lines masks it too,
+    where a second capital makes it likely a name. None where nothing or everything would be masked."""
     words = DIGITS.sub("0", line).split()
-    out = ["X" + w[-1] * (w[-1] in ",:.") if w[:1].isupper() else w for w in words]
-    kept = sum(1 for w in out if w[0] != "X")
-    return " ".join(out) if 0 < kept < len(out) and not line.isupper() else ""
+    if len(words) < 2 or line.isupper():
+        return []
+    rest = ["X" + w[-1] * (w[-1] in ",:.") if w[:1].isupper() else w for w in words[1:]]
+    out = []
+    if any(w[0] == "X" for w in rest):
+        out.append(" ".join([words[0].casefold(), *rest]))
+        if len(words) <= 6 and rest[0][0] == "X" and words[0][:1].isupper() and any(w[0] != "X" for w in rest):
+            out.append(" ".join(["X", *rest]))
+    return out
 
 
 def starts(line: str) -> str:
@@ -131,7 +139,7 @@ def site_names(source: str, line: str) -> list[str]:
 
 def shape(text: str) -> list[tuple[int, str]]:
     """(number, line in consistent characters) of the lines that aren't blank."""
-    return [(no, plain(s)) for no, x in enumerate(text.split("\n"), 1) if (s := x.strip())]
+    return [(no, plain(s) if len(s) <= 2 * SHORT else s) for no, x in enumerate(text.split("\n"), 1) if (s := x.strip())]
 
 
 def is_long(line: str) -> bool:
@@ -170,10 +178,10 @@ def learn(documents: DataFrame) -> DataFrame:
                 if ("line", key) not in seen:
                     seen.add(("line", key))
                     add(source, "line", key)
-                hidden = masked(line)
-                if hidden and ("masked", hidden) not in seen:
-                    seen.add(("masked", hidden))
-                    add(source, "masked", hidden)
+                for hidden in masked(line):
+                    if ("masked", hidden) not in seen:
+                        seen.add(("masked", hidden))
+                        add(source, "masked", hidden)
                 for name in site_names(source, line):
                     add(source, "name", name)
                 if body and len(key) <= 40:
@@ -192,7 +200,7 @@ def learn(documents: DataFrame) -> DataFrame:
     counted = map_rows(documents.select("source", "text"), "source string, kind string, item string, n bigint, m bigint, k bigint", block)
     summed = cut(counted.groupBy("source", "kind", "item").agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum("k").alias("k")).where("n >= 2 or kind = 'size'"))
     sizes = summed.where("kind = 'size'").select("source", F.col("n").alias("size"))
-    needed = F.greatest(F.lit(LEAST_DOCS), F.ceil(F.col("size") * F.when(F.col("kind") == "line", SHARE).when(F.col("kind") == "masked", MASKED_SHARE).otherwise(0.004)))
+    needed = F.greatest(F.when(F.col("kind") == "masked", LEAST_DOCS + 2).otherwise(LEAST_DOCS), F.ceil(F.col("size") * F.when(F.col("kind") == "line", SHARE).when(F.col("kind") == "masked", MASKED_SHARE).otherwise(0.004)))
     return summed.where("kind <> 'size'").join(sizes, "source").where(F.col("n") >= needed).drop("size")
 
 
@@ -231,22 +239,28 @@ def sites_of(rows: list) -> dict[str, Site]:
     return out
 
 
-KERNEL = np.exp(-0.5 * (np.arange(-3, 4) / SIGMA) ** 2)
+REACH = 3
+KERNEL = [math.exp(-0.5 * (d / SIGMA) ** 2) for d in range(-REACH, REACH + 1)]
 
 
-def content_regions(lengths: list[int], tags: list[int]) -> np.ndarray:
-    """True for lines of the cluster with the higher smoothed text-to-tag ratio."""
-    ratio = np.log1p(np.array(lengths, dtype=np.float64) / (1 + np.array(tags)))
-    padded = np.pad(ratio, 3, mode="edge")
-    smooth = np.convolve(padded, KERNEL / KERNEL.sum(), mode="valid")
-    low, high = smooth.min(), smooth.max()
+def content_regions(lengths: list[int], tags: list[int]) -> list[bool]:
+    """True for lines of the cluster with the higher smoothed text-to-tag ratio (two means, at most eight rounds)."""
+    ratio = [math.log1p(n / (1 + t)) for n, t in zip(lengths, tags)]
+    padded = [ratio[0]] * REACH + ratio + [ratio[-1]] * REACH
+    whole = sum(KERNEL)
+    smooth = [sum(map(operator.mul, KERNEL, padded[i : i + len(KERNEL)])) / whole for i in range(len(ratio))]
+    low, high = min(smooth), max(smooth)
     if high - low < 0.5:
-        return np.full(len(smooth), high > np.log1p(80))
+        return [high > math.log1p(80)] * len(smooth)
     for _ in range(8):
         split = (low + high) / 2
-        up = smooth > split
-        low, high = smooth[~up].mean(), smooth[up].mean()
-    return smooth > (low + high) / 2
+        up, down = [x for x in smooth if x > split], [x for x in smooth if x <= split]
+        new = sum(down) / len(down), sum(up) / len(up)
+        if new == (low, high):
+            break
+        low, high = new
+    split = (low + high) / 2
+    return [x > split for x in smooth]
 
 
 def boilerplate(text: str, site: Site) -> list[int]:
@@ -255,7 +269,7 @@ def boilerplate(text: str, site: Site) -> list[int]:
     if not shaped:
         return []
     marks = _tags.count(text) if "<" in text else {}
-    names = [n for _, n in site.names]
+    names = [n.casefold() for _, n in site.names]
     lines = [x for _, x in shaped]
     long = [len(x) > SHORT for x in lines]
     tags, gone, label = [], [], []
@@ -264,7 +278,7 @@ def boilerplate(text: str, site: Site) -> list[int]:
         furniture = marked = False
         if not long[i]:
             key = skeleton(line)
-            furniture = key in site.lines or (bool(site.masked) and masked(line) in site.masked)
+            furniture = key in site.lines or (bool(site.masked) and not site.masked.isdisjoint(masked(line)))
             parts = len(SEPARATORS.findall(line))
             t += parts
             if CONTROL.search(line) and not is_long(line):
@@ -272,10 +286,10 @@ def boilerplate(text: str, site: Site) -> list[int]:
                 furniture = True
             if parts >= 3 and len(line) < 40 * (parts + 1) and not line.endswith("."):
                 furniture = True
-            named = next((n for n in names if n.casefold() in line.casefold()), None)
-            if named and not is_long(line):
+            low = line.casefold()
+            own = next((n for n in names if n in low), None)
+            if own and not is_long(line):
                 t += 2
-                low, own = line.casefold(), named.casefold()
                 if parts or low.startswith(own) or low.endswith(own) or len(line) < 90:
                     furniture = True
             if TEASER.search(line):
