@@ -13,14 +13,15 @@ r AS (SELECT doc_id, list_transform(range(1, len(w) - 3), lambda i: array_to_str
 SELECT doc_id FROM r WHERE 1 - len(list_distinct(r)) / len(r) >= 0.3 - 1e-12
 """
 
-ODD = r"[\x{ff01}-\x{ff5e}\x{0300}-\x{036f}\x{1ab0}-\x{1aff}\x{1dc0}-\x{1dff}\x{20d0}-\x{20dc}\x{20e1}\x{20e5}-\x{20f0}\x{fe20}-\x{fe2f}\x{180e}\x{200b}-\x{200f}\x{2060}-\x{2064}\x{feff}\x{00a0}\x{2007}\x{202f}]"
+ODD = r"[\x{ff01}-\x{ff5e}\x{0300}-\x{036f}\x{1ab0}-\x{1aff}\x{1dc0}-\x{1dff}\x{20d0}-\x{20dc}\x{20e1}\x{20e5}-\x{20f0}\x{fe20}-\x{fe2f}\x{180e}\x{200b}\x{200c}\x{200e}\x{200f}\x{2060}-\x{2064}\x{feff}\x{00a0}\x{2007}\x{202f}]"
+JOINER = r"(?:\A|[^\x{2190}-\x{2bff}\x{fe0f}\x{1f000}-\x{1faff}])\x{200d}|\x{200d}(?:\z|[^\x{2190}-\x{2bff}\x{1f000}-\x{1faff}])"
 MIXED = r"\p{Latin}[^\s\p{Z}]*[\p{Cyrillic}\p{Greek}]|[\p{Cyrillic}\p{Greek}][^\s\p{Z}]*\p{Latin}"
 
 P6 = f"""
 WITH t AS (
   SELECT 'document' AS record_kind, doc_id AS record_id, text FROM documents
   UNION ALL SELECT 'candidate', candidate_id, fragment FROM boilerplate_candidates)
-SELECT DISTINCT record_kind, record_id FROM t WHERE regexp_matches(text, '{ODD}') OR regexp_matches(text, '{MIXED}')
+SELECT DISTINCT record_kind, record_id FROM t WHERE regexp_matches(text, '{ODD}|{JOINER}') OR regexp_matches(text, '{MIXED}')
 """
 
 P7 = f"""
