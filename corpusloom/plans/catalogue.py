@@ -134,7 +134,7 @@ def content_hash(spark, d):
 @query
 def content_dedup(spark, d):
     hashed = content_hash(spark, d).where("content_hash is not null")
-    return O.content_firsts(hashed, "doc_id", "content_hash").where("not is_duplicate").select("doc_id", "content_hash")
+    return O.keep_first(hashed, "content_hash", "doc_id").select("doc_id", "content_hash")
 
 
 @query
