@@ -7,7 +7,7 @@ sums of their words' presence vectors. A one-versus-rest kernel ridge regression
 of a fixed table). As the kernel is linear in the presence vectors, landmarks, whitening and regression fold into one
 matrix n-grams x languages, and a block of lines is scored by one gathered matrix product.
 
-Documents are labelled line by line: the path of languages with the greatest evidence, where each change costs
+Lines are read in the consistent form of problem 6. Documents are labelled line by line: the path of languages with the greatest evidence, where each change costs
 ``SWITCH``. Runs of lines in one language are the segments; blank lines belong to no segment. Confidence is the
 soft maximum of the mean evidence of a segment's words.
 
@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import map_rows
+from .p1_main_content import plain
 from .p4_residue import is_residue
 
 N_MAX = 5
 RIDGE = 0.3
 #: What a change of language costs, in units of word evidence.
-SWITCH = 9.0
+SWITCH = 11.0
 #: How sharply evidence turns into confidence.
 SHARP = 6.0
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
@@ -198,7 +199,7 @@ def detect(documents: DataFrame, samples: DataFrame, only_found: bool = False) -
         scorer = held[0]
         lines, sizes = [], []
         for text in rows["text"]:
-            own = [x for x in (text or "").split("\n") if x.strip()]
+            own = [plain(x) for x in (text or "").split("\n") if x.strip()]
             lines += own
             sizes.append(len(own))
         scores, words = scorer.lines(lines)
