@@ -208,25 +208,31 @@ class Site:
     """What was learnt of one source."""
 
     def __init__(self) -> None:
-        self.lines: set[str] = set()
+        self.lines: dict[str, int] = {}
         self.labels: set[str] = set()
-        self.masked: set[str] = set()
+        self.masked: dict[str, int] = {}
         self.headline: dict[str, int] = {}
         self.subhead: dict[str, int] = {}
         self.names: list[tuple[int, str]] = []
 
     def add(self, kind: str, item: str, n: int, m: int, k: int) -> None:
         if kind == "line":
-            self.lines.add(item)
+            self.lines[item] = n
             if k >= 2 and m >= LABEL_FOLLOWED * k and len(item) <= 40:
                 self.labels.add(item)
         elif kind == "masked":
-            self.masked.add(item)
+            self.masked[item] = n
         elif kind == "name":
             self.names = sorted([*self.names, (n, item)], reverse=True)[:3]
         else:
             getattr(self, kind)[item] = n
 
+    def recurs(self, line: str, key: str) -> bool:
+        """Whether a line is furniture by its skeleton, and not one of many lines that begin like headlines."""
+        n = max([self.lines.get(key, 0), *(self.masked.get(x, 0) for x in masked(line))])
+        begin = starts(line)
+        return n > 0 and self.headline.get(begin, 0) + self.subhead.get(begin, 0) < 2 * n
+
     def is_subhead(self, line: str) -> bool:
         key = starts(line)
         return self.subhead.get(key, 0) > self.headline.get(key, 0)
@@ -278,13 +284,13 @@ def boilerplate(text: str, site: Site) -> list[int]:
         furniture = marked = False
         if not long[i]:
             key = skeleton(line)
-            furniture = key in site.lines or (bool(site.masked) and not site.masked.isdisjoint(masked(line)))
+            furniture = site.recurs(line, key)
             parts = len(SEPARATORS.findall(line))
             t += parts
             if CONTROL.search(line) and not is_long(line):
                 t += 2
                 furniture = True
-            if parts >= 3 and len(line) < 40 * (parts + 1) and not line.endswith("."):
+            if parts >= 2 and max(map(len, SEPARATORS.split(line))) <= 30:
                 furniture = True
             low = line.casefold()
             own = next((n for n in names if n in low), None)
@@ -300,7 +306,7 @@ def boilerplate(text: str, site: Site) -> list[int]:
             if key in site.labels:
                 marked = True
             elif ":" in line and skeleton(line.split(":", 1)[0]) in site.labels:
-                furniture = True
+                furniture = marked = True
             t += 2 * furniture
         tags.append(t)
         gone.append(furniture)
@@ -314,7 +320,7 @@ def boilerplate(text: str, site: Site) -> list[int]:
         if label[i] and (i > 0 or gone[i]):
             gone[i] = True
             j = i + 1
-            while j < len(lines) and not gone[j] and not is_long(lines[j]) and not BULLET.match(lines[j]) and (NUMBER.match(lines[j]) or not lines[j].endswith(".")):
+            while j < len(lines) and not label[j] and not is_long(lines[j]) and not BULLET.match(lines[j]) and (TEASER.search(lines[j]) if gone[j] else NUMBER.match(lines[j]) or not lines[j].endswith(".")):
                 j += 1
             stop = j
             if j < len(lines) and not gone[j] and j - 1 > i and site.is_subhead(lines[j - 1]):
