@@ -158,7 +158,7 @@ def manifest_parse(spark, d):
 
 @query
 def manifest_reconcile(spark, d):
-    files = table(spark, d, "documents").where("doc_id % 2 = 0").select(U.safe_filename(F.col("url")).alias("name"))
+    files = table(spark, d, "documents").select(U.safe_filename(F.col("url")).alias("name"))
     return O.reconcile(table(spark, d, "scraped_urls").select("seq", "url"), files).select("seq", "url")
 
 
