@@ -277,7 +277,7 @@ def iso_normalize(spark, d):
 
 @query
 def openlid_preprocess(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.sha1(F.encode(T.openlid_preprocess(F.substring("text", 1, 2000)), "UTF-8")).alias("digest"))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.sha1(F.encode(T.openlid_preprocess(F.col("text")), "UTF-8")).alias("digest"))
 
 
 def _shown(df):

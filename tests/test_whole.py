@@ -1,6 +1,10 @@
 """Queries over whole tables, against statements written here: ``sql.py`` still has some of the cuts."""
 
-from corpusloom.plans import catalogue
+import re
+
+from corpusloom.functions import text as T
+from corpusloom.plans import catalogue, sql
+from pyspark.sql import functions as F
 
 from .helpers import by_duckdb, by_spark
 
@@ -12,3 +16,18 @@ def test_reconcile_takes_all_documents(spark):
     odd = "SELECT doc_id FROM documents JOIN scraped_urls USING (url) WHERE doc_id % 2 = 1"
     assert by_duckdb(DATA, odd)[1]
     assert by_spark(catalogue.queries()["manifest_reconcile"](spark, DATA)) == by_duckdb(DATA, whole)
+
+
+def openlid(text):
+    """The reference's steps (language_detection.py, _openlid_preprocess) over the whole text."""
+    return re.sub(r"\s\s+", " ", re.sub(r"[^\w\s]|\d", "", text.strip().replace("\n", " ").lower()))
+
+
+def test_openlid_preprocess_takes_whole_texts(spark):
+    tail = "ord " * 500 + "Slutten, nr. 7!"
+    assert len(tail) > 2000 and openlid(tail).endswith("slutten nr ")
+    made = spark.createDataFrame([(tail,)], "text string").select(T.openlid_preprocess(F.col("text")).alias("t")).first().t
+    assert made == openlid(tail)
+    whole = sql.oracle_sql()["openlid_preprocess"].replace("substr(text, 1, 2000)", "text")
+    assert by_duckdb(DATA, "SELECT doc_id FROM documents WHERE length(text) > 2000")[1]
+    assert by_spark(catalogue.queries()["openlid_preprocess"](spark, DATA)) == by_duckdb(DATA, whole)
