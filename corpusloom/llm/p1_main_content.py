@@ -3,9 +3,10 @@
 A standard-library parser streams over each text; every line gets its text length and the number of tags met on it.
 Texts kept by an extractor have few real tags left, so what stands for a link or a control also counts as one: menu
 separators, addresses, telephone numbers, times, the site's own name, and *furniture*, a line whose skeleton recurs
-in many documents of its source. The text-to-tag ratio of the lines is smoothed with a Gaussian and split into two
-clusters, which gives the content regions; lines of furniture, and lists of other articles behind a label, are then
-taken out of the regions, and short lines outside them too.
+in many documents of its source. What is removed is lines of furniture, and lists of other articles behind a label.
+The text-to-tag ratio of the lines is also smoothed with a Gaussian and split into two clusters, which gives the content
+regions, but these decide almost nothing: a short line outside them goes only after the body and right after a removed
+line, as headlines and subheads lie outside them too.
 
 What recurs is learnt from all documents (``learn``): skeletons in at least ``SHARE`` of a source's documents
 (``MASKED_SHARE`` where names are masked), labels (furniture that rare short lines follow), the beginnings of headlines
@@ -330,7 +331,8 @@ def boilerplate(text: str, site: Site) -> list[int]:
             i = max(stop, i + 1)
         else:
             i += 1
-    # The headline is the last short line before the body that is no furniture; short lines outside the regions go.
+    # The headline is the last short line before the body that is no furniture; of the short lines outside the regions,
+    # those after the body that follow a removed line go.
     for k in range(len(lines)):
         if gone[k] or k in (first - 1,) or inside[k] or is_long(lines[k]) or BULLET.match(lines[k]) or lines[k].endswith(ENDS):
             continue
