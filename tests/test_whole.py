@@ -2,6 +2,7 @@
 
 import re
 
+from corpusloom.functions import constants as C
 from corpusloom.functions import text as T
 from corpusloom.plans import catalogue, sql
 from pyspark.sql import functions as F
@@ -31,3 +32,12 @@ def test_openlid_preprocess_takes_whole_texts(spark):
     whole = sql.oracle_sql()["openlid_preprocess"].replace("substr(text, 1, 2000)", "text")
     assert by_duckdb(DATA, "SELECT doc_id FROM documents WHERE length(text) > 2000")[1]
     assert by_spark(catalogue.queries()["openlid_preprocess"](spark, DATA)) == by_duckdb(DATA, whole)
+
+
+def test_all_44_boilerplate_patterns(spark):
+    assert len(C.PATTERNS) + len(C.LITERALS) + 1 == 44 and len({*C.PATTERNS, *C.LITERALS}) == 43
+    begins = ["The owner of this website (apnews.com)", "The Guardian\nThe Guardian\nINT Focused", "Sign up to The Week in Patriarchy\n\nGet Arwa", "Privacy Notice: Newsletters may contain", "The Guardian\nThe Guardian\nSign up for the Football Daily"]
+    texts = [next((x for x in C.LITERALS if x.startswith(b)), b) for b in begins]
+    rows = [*texts, *(f" {t.upper()}\n" for t in texts), *(f"{t} And more." for t in texts)]
+    got = [r.b for r in spark.createDataFrame(list(enumerate(rows)), "i int, t string").select("i", T.looks_like_boilerplate(F.col("t")).alias("b")).orderBy("i").collect()]
+    assert got == [True] * 10 + [False] * 5
