@@ -343,7 +343,8 @@ def discard_pending(spark, d):
 @query
 def candidate_upsert(spark, d):
     c = table(spark, d, "boilerplate_candidates")
-    return K.upsert(c.where("candidate_id % 3 = 0"), c.where("candidate_id % 3 <> 0"), "candidate_id").select("candidate_id")
+    log = X.frame(spark, [("bbc.com", " Contains upsetting scenes."), (None, "x")], "domain string, fragment string")
+    return K.upsert(log, c, "candidate_id").select("candidate_id")
 
 
 @query

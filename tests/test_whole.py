@@ -41,3 +41,9 @@ def test_all_44_boilerplate_patterns(spark):
     rows = [*texts, *(f" {t.upper()}\n" for t in texts), *(f"{t} And more." for t in texts)]
     got = [r.b for r in spark.createDataFrame(list(enumerate(rows)), "i int, t string").select("i", T.looks_like_boilerplate(F.col("t")).alias("b")).orderBy("i").collect()]
     assert got == [True] * 10 + [False] * 5
+
+
+def test_upsert_takes_the_whole_table(spark):
+    key = f"lower({sql.strip(chr(39) * 2 + ' || fragment')})"
+    whole = f"WITH k AS (SELECT candidate_id, coalesce(domain, '') AS dom, {key} AS key FROM boilerplate_candidates WHERE fragment IS NOT NULL) SELECT min(candidate_id) AS candidate_id FROM k WHERE key <> '' AND (dom, key) NOT IN (('bbc.com', 'contains upsetting scenes.'), ('', 'x')) GROUP BY dom, key"
+    assert by_spark(catalogue.queries()["candidate_upsert"](spark, DATA)) == by_duckdb(DATA, whole)
