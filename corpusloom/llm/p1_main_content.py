@@ -153,11 +153,10 @@ def learn(documents: DataFrame) -> DataFrame:
     def block(rows: dict) -> dict:
         count: dict[tuple[str, str, str], list[int]] = {}
 
-        def add(source: str, kind: str, item: str, n: int = 1, m: int = 0, k: int = 0) -> None:
-            got = count.setdefault((source, kind, item), [0, 0, 0])
+        def add(source: str, kind: str, item: str, n: int = 1, k: int = 0) -> None:
+            got = count.setdefault((source, kind, item), [0, 0])
             got[0] += n
-            got[1] += m
-            got[2] += k
+            got[1] += k
 
         follows: list[tuple[str, str, str]] = []
         for source, text in zip(rows["source"], rows["text"]):
@@ -192,17 +191,34 @@ def learn(documents: DataFrame) -> DataFrame:
                     add(source, "subhead", starts(line))
                 if not body and i + 1 < len(lines) and long[i + 1]:
                     add(source, "headline", starts(line))
+        followed: Counter = Counter()
         for source, key, after in follows:
-            rare = bool(after) and count.get((source, "line", after), [0])[0] <= 1
-            add(source, "line", key, 0, int(rare), 1)
-        keys = list(count)
-        return {"source": [k[0] for k in keys], "kind": [k[1] for k in keys], "item": [k[2] for k in keys], "n": [count[k][0] for k in keys], "m": [count[k][1] for k in keys], "k": [count[k][2] for k in keys]}
-
-    counted = map_rows(documents.select("source", "text"), "source string, kind string, item string, n bigint, m bigint, k bigint", block)
-    summed = cut(counted.groupBy("source", "kind", "item").agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.sum("k").alias("k")).where("n >= 2 or kind = 'size'"))
+            add(source, "line", key, 0, 1)
+            # What recurs within the block is not rare among all documents either.
+            if after and count.get((source, "line", after), [0])[0] <= 1:
+                followed[source, key, after] += 1
+        keys, pairs = list(count), list(followed)
+        return {
+            "source": [x[0] for x in [*keys, *pairs]],
+            "kind": [k[1] for k in keys] + ["follow"] * len(pairs),
+            "item": [k[2] for k in keys] + [p[1] for p in pairs],
+            "after": [""] * len(keys) + [p[2] for p in pairs],
+            "n": [count[k][0] for k in keys] + [followed[p] for p in pairs],
+            "k": [count[k][1] for k in keys] + [0] * len(pairs),
+        }
+
+    counted = map_rows(documents.select("source", "text"), "source string, kind string, item string, after string, n bigint, k bigint", block)
+    every = cut(counted.groupBy("source", "kind", "item", "after").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).where("n >= 2 or kind in ('size', 'follow')"))
+    summed = every.where("kind <> 'follow'").drop("after")
     sizes = summed.where("kind = 'size'").select("source", F.col("n").alias("size"))
     needed = F.greatest(F.when(F.col("kind") == "masked", LEAST_DOCS + 2).otherwise(LEAST_DOCS), F.ceil(F.col("size") * F.when(F.col("kind") == "line", SHARE).when(F.col("kind") == "masked", MASKED_SHARE).otherwise(0.004)))
-    return summed.where("kind <> 'size'").join(sizes, "source").where(F.col("n") >= needed).drop("size")
+    kept = summed.where("kind <> 'size'").join(sizes, "source").where(F.col("n") >= needed).drop("size")
+    # A follower is rare if at most one document of the source has it: lines of two and more are all in ``summed``.
+    labels = kept.where("kind = 'line' and k >= 2").select("source", "item")
+    recurring = summed.where("kind = 'line'").select("source", F.col("item").alias("after"))
+    rare = every.where("kind = 'follow'").join(labels, ["source", "item"], "left_semi").join(recurring, ["source", "after"], "left_anti")
+    m = rare.groupBy("source", "item").agg(F.sum("n").alias("m")).withColumn("kind", F.lit("line"))
+    return kept.join(m, ["source", "kind", "item"], "left").select("source", "kind", "item", "n", F.coalesce("m", F.lit(0)).cast("bigint").alias("m"), "k")
 
 
 class Site:

@@ -1,7 +1,9 @@
 """The training-text operators where a short cut once left something out."""
 
 import pytest
+from corpusloom.llm import p1_main_content as p1
 from corpusloom.llm import p4_residue as p4
+from pyspark.sql import functions as F
 
 
 @pytest.mark.parametrize("word", ["undefined", "nan", "null undefined", "xxx", "typeerror", "error 500"])
@@ -13,3 +15,11 @@ def test_residue_of_one_long_line(word):
 
 def test_long_sentences_are_no_residue():
     assert not p4.is_residue("The value was undefined and the reply came back null after the error 500 that the council met on Tuesday. " * 4)
+
+
+def test_rare_followers_are_told_from_all_documents(spark):
+    body = "The council met on Tuesday to discuss the repair of the long bridge over the river, and the harbour stayed closed all day."
+    rows = [(i, f"Headline of day {chr(97 + i)}\n{body}\n{body}\nRead also\nThe ferry waits for a new {chr(97 + i // 2)} captain", "s") for i in range(20)]
+    made = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    whole, split = ({(r.kind, r.item): (r.n, r.m, r.k) for r in p1.learn(made.orderBy(key).repartitionByRange(parts, key)).collect()} for parts, key in ((1, "doc_id"), (10, F.col("doc_id") % 10)))
+    assert whole == split and whole["line", "read also"] == (20, 0, 20)
