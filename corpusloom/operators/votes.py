@@ -63,22 +63,27 @@ def tiebreak(votes: DataFrame, extra: DataFrame) -> DataFrame:
 
 
 def route(documents: DataFrame, languages: DataFrame, votes: DataFrame) -> DataFrame:
-    """url, lang_folder, how. Documents of locked sites take the site's code and never reach the panel.
+    """The rows of ``documents`` with lang_folder and how. A locked site's code is taken without asking the panel.
 
-    ``languages`` has domain, prefix, code, locked; of several prefixes the longest wins.
+    The site is that of the row's own url; rows without one have no site and no votes (``unknown``). Rows aren't joined
+    by url with each other, so repeated urls stay as many rows as they are. ``languages`` has domain, prefix, code,
+    locked; of several prefixes the longest wins.
     """
     from ..functions import urls as U
 
-    sites = languages.groupBy("domain").agg(F.max("locked").alias("locked"), F.collect_list(F.struct("prefix", "code")).alias("codes"))
-    at = documents.select("url", "source").join(sites, documents.source == sites.domain, "left")
-    fitting = F.filter("codes", lambda x: F.startswith(U.path(F.col("url")), x["prefix"]))
+    sites = languages.where(F.col("domain").isNotNull()).groupBy("domain").agg(F.max("locked").alias("_locked"), F.collect_list(F.struct("prefix", "code")).alias("_codes")).withColumnRenamed("domain", "_domain")
+    at = documents.withColumn("_domain", U.domain_key(U.netloc(F.col("url")))).join(sites, "_domain", "left")
+    fitting = F.filter("_codes", lambda x: F.startswith(U.path(F.col("url")), x["prefix"]))
     longest = F.aggregate(fitting, F.lit(None).cast("struct<prefix:string,code:string>"), lambda a, x: F.when(a.isNull() | (F.length(x["prefix"]) > F.length(a["prefix"])), x).otherwise(a))
-    known = at.withColumn("expected", longest["code"])
-    locked = F.coalesce(F.col("locked") & F.col("expected").isNotNull(), F.lit(False))
-    fixed = known.where(locked).select("url", F.col("expected").alias("lang_folder"), F.lit("locked").alias("how"))
-    open_urls = known.where(~locked).select("url")
-    judged = verdicts(open_urls, resolve(panel(valid(votes)).join(open_urls, "url", "left_semi")))
-    return fixed.unionByName(judged.select("url", F.col("code").alias("lang_folder"), F.when(F.col("disputed"), "disputed").otherwise("panel").alias("how")))
+    known = at.withColumn("_expected", longest["code"])
+    known = known.withColumn("_fixed", F.coalesce(F.col("_locked") & F.col("_expected").isNotNull(), F.lit(False)))
+    asked = known.where(~F.col("_fixed") & F.col("url").isNotNull()).select("url").distinct()
+    judged = resolve(panel(valid(votes)).join(asked, "url", "left_semi")).select("url", F.col("winner_code").alias("_code"), F.col("disputed").alias("_disputed"))
+    joined = known.join(judged, "url", "left")
+    disputed = F.coalesce("_disputed", F.lit(False))
+    folder = F.when(F.col("_fixed"), F.col("_expected")).when(F.col("_code").isNull(), "unknown").when(disputed, "disputed").otherwise(F.col("_code"))
+    how = F.when(F.col("_fixed"), "locked").when(disputed, "disputed").otherwise("panel")
+    return joined.select(*documents.columns, folder.alias("lang_folder"), how.alias("how"))
 
 
 def disputes(votes: DataFrame, logged: DataFrame) -> DataFrame:

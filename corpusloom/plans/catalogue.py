@@ -16,7 +16,7 @@ from ..operators import ordering as O
 from ..operators import paragraphs as P
 from ..operators import replies as R
 from ..operators import votes as V
-from ..session import cut, table
+from ..session import cut, spread, table
 from ..sources import manifest as M
 from . import fixtures as X
 from . import pipeline
@@ -39,6 +39,10 @@ def oracle_sql() -> dict[str, str]:
     return sql.oracle_sql()
 
 
+def _docs(spark, d):
+    return spread(table(spark, d, "documents"))
+
+
 def _urls(spark, d):
     """Manifest addresses, and literal ones with seq below 0."""
     own = table(spark, d, "scraped_urls").select("seq", "url", "base")
@@ -60,7 +64,7 @@ def _languages(spark, d):
 
 @query
 def corpus_pipeline(spark, d):
-    return pipeline.corpus(table(spark, d, "documents"), _languages(spark, d), table(spark, d, "judge_votes"))
+    return pipeline.corpus(_docs(spark, d), _languages(spark, d), table(spark, d, "judge_votes"))
 
 
 @query
@@ -93,7 +97,7 @@ def url_dedup(spark, d):
 
 @query
 def new_links(spark, d):
-    seen = table(spark, d, "documents").select(U.normalize_url(F.col("url")).alias("url"))
+    seen = _docs(spark, d).select(U.normalize_url(F.col("url")).alias("url"))
     return pipeline.auto(_urls(spark, d), seen, _prefixes(spark, d))
 
 
@@ -108,7 +112,7 @@ def expected_language(spark, d):
 @query
 def site_override(spark, d):
     sites = table(spark, d, "site_overrides").select("domain", "article_selector", F.size("exclude_selectors").alias("n_excludes"))
-    docs = table(spark, d, "documents").select("doc_id", U.domain_key(U.netloc(F.col("url"))).alias("domain"))
+    docs = _docs(spark, d).select("doc_id", U.domain_key(U.netloc(F.col("url"))).alias("domain"))
     return docs.join(sites, "domain", "left").select("doc_id", "domain", "article_selector", "n_excludes")
 
 
@@ -128,7 +132,7 @@ def listing_urls_for_codes(spark, d):
 
 @query
 def content_hash(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.content_hash(F.col("text")).alias("content_hash"))
+    return _docs(spark, d).select("doc_id", T.content_hash(F.col("text")).alias("content_hash"))
 
 
 @query
@@ -146,7 +150,7 @@ def content_duplicates(spark, d):
 @query
 def content_known(spark, d):
     """Documents whose hash the manifest already has from an earlier line than their own."""
-    own = table(spark, d, "documents").select("doc_id", "url", T.content_hash(F.col("text")).alias("content_hash"))
+    own = _docs(spark, d).select("doc_id", "url", T.content_hash(F.col("text")).alias("content_hash"))
     lines = table(spark, d, "scraped_urls").where("content_hash is not null and url is not null").select("content_hash", F.col("url").alias("other"))
     return own.join(lines, "content_hash").where("url <> other").select("doc_id").distinct()
 
@@ -158,13 +162,13 @@ def manifest_parse(spark, d):
 
 @query
 def manifest_reconcile(spark, d):
-    files = table(spark, d, "documents").select(U.safe_filename(F.col("url")).alias("name"))
+    files = _docs(spark, d).select(U.safe_filename(F.col("url")).alias("name"))
     return O.reconcile(table(spark, d, "scraped_urls").select("seq", "url"), files).select("seq", "url")
 
 
 @query
 def run_counters(spark, d):
-    made = cut(pipeline.clean(table(spark, d, "documents")).select("doc_id", "content_hash"))
+    made = cut(pipeline.clean(_docs(spark, d)).select("doc_id", "content_hash"))
     firsts = O.content_firsts(made.where("content_hash is not null"), "doc_id", "content_hash")
     status = made.select("doc_id").join(firsts.select("doc_id", "is_duplicate"), "doc_id", "left")
     return status.select(F.when(F.col("is_duplicate").isNull(), "failed").when(F.col("is_duplicate"), "duplicate").otherwise("saved").alias("status")).groupBy("status").agg(F.count("*").alias("n"))
@@ -175,7 +179,7 @@ def run_counters(spark, d):
 
 @query
 def boilerplate_flag(spark, d):
-    ps = table(spark, d, "documents").select("doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "p"))
+    ps = _docs(spark, d).select("doc_id", F.posexplode(T.paragraphs(F.col("text"))).alias("pos", "p"))
     own = table(spark, d, "boilerplate_candidates").select(F.col("candidate_id").alias("doc_id"), F.lit(-1).alias("pos"), F.col("fragment").alias("p")).where("p is not null")
     return ps.unionByName(own).where(T.looks_like_boilerplate(F.col("p"))).select("doc_id", "pos")
 
@@ -196,7 +200,7 @@ def _paragraphs(spark, d):
         (-8, ["A visa mer", "A visa mer", "A", "A lees meer", "A"]),
         (-9, ["x", "", "y"]),
     ]
-    own = table(spark, d, "documents").where("text is not null").select("doc_id", T.paragraphs(F.col("text")).alias("ps"))
+    own = _docs(spark, d).where("text is not null").select("doc_id", T.paragraphs(F.col("text")).alias("ps"))
     return own.unionByName(X.frame(spark, [(i, "\n".join(p)) for i, p in extra], "doc_id bigint, t string").select("doc_id", T.paragraphs(F.col("t")).alias("ps")))
 
 
@@ -217,14 +221,13 @@ def dedupe_consecutive(spark, d):
 
 @query
 def article_text(spark, d):
-    return pipeline.clean(table(spark, d, "documents")).select("doc_id", F.length("article").alias("n_chars"), "content_hash")
+    return pipeline.clean(_docs(spark, d)).select("doc_id", F.length("article").alias("n_chars"), "content_hash")
 
 
 @query
 def source_totals(spark, d):
-    made = cut(pipeline.clean(table(spark, d, "documents")).where("article is not null"))
-    firsts = O.content_firsts(made, "doc_id", "content_hash").where("not is_duplicate").select("doc_id")
-    return made.join(firsts, "doc_id", "left_semi").groupBy("source").agg(F.count("*").alias("n"), F.sum(F.length("article")).alias("n_chars"))
+    made = pipeline.clean(_docs(spark, d)).where("article is not null").select("doc_id", "source", F.length("article").alias("n_chars"), "content_hash")
+    return pipeline.first_of_contents(made).groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))
 
 
 # Suspicion, batches and replies
@@ -232,29 +235,29 @@ def source_totals(spark, d):
 
 @query
 def is_suspicious(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.is_suspicious(F.col("text")).alias("suspicious"))
+    return _docs(spark, d).select("doc_id", T.is_suspicious(F.col("text")).alias("suspicious"))
 
 
 @query
 def detection_sample(spark, d):
     s = T.detection_sample(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", F.length(s).alias("n_chars"), F.sha1(F.encode(s, "UTF-8")).alias("digest"))
+    return _docs(spark, d).select("doc_id", F.length(s).alias("n_chars"), F.sha1(F.encode(s, "UTF-8")).alias("digest"))
 
 
 @query
 def llm_batches(spark, d):
-    return R.batches(table(spark, d, "documents")).select("doc_id", "batch_id", "slot")
+    return R.batches(_docs(spark, d)).select("doc_id", "batch_id", "slot")
 
 
 @query
 def batch_payloads(spark, d):
-    return R.payloads(R.batches(table(spark, d, "documents"))).select("batch_id", "n", "max_tokens")
+    return R.payloads(R.batches(_docs(spark, d))).select("batch_id", "n", "max_tokens")
 
 
 @query
 def batch_replies(spark, d):
     """Without a model every batch has an empty reply."""
-    return R.asked(R.payloads(R.batches(table(spark, d, "documents"))))
+    return R.asked(R.payloads(R.batches(_docs(spark, d))))
 
 
 @query
@@ -277,7 +280,7 @@ def iso_normalize(spark, d):
 
 @query
 def openlid_preprocess(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.sha1(F.encode(T.openlid_preprocess(F.col("text")), "UTF-8")).alias("digest"))
+    return _docs(spark, d).where("text is not null").select("doc_id", F.sha1(F.encode(T.openlid_preprocess(F.col("text")), "UTF-8")).alias("digest"))
 
 
 def _shown(df):
@@ -296,13 +299,13 @@ def strict_votes(spark, d):
 
 @query
 def panel_verdict(spark, d):
-    return _shown(V.verdicts(table(spark, d, "documents").select("url"), V.resolve(V.panel(V.valid(table(spark, d, "judge_votes"))))))
+    return _shown(V.verdicts(_docs(spark, d).select("url"), V.resolve(V.panel(V.valid(table(spark, d, "judge_votes"))))))
 
 
 def _second_opinion(spark, d):
     """Stands in for a model's opinion: the site's own code."""
     sites = table(spark, d, "site_overrides").select(F.col("domain").alias("source"), "code")
-    return table(spark, d, "documents").join(sites, "source").select("url", "code", F.lit(0.6).alias("confidence"))
+    return _docs(spark, d).join(sites, "source").select("url", "code", F.lit(0.6).alias("confidence"))
 
 
 @query
@@ -312,7 +315,7 @@ def tiebreak_verdict(spark, d):
 
 @query
 def route_language(spark, d):
-    return V.route(table(spark, d, "documents"), _languages(spark, d), table(spark, d, "judge_votes"))
+    return V.route(_docs(spark, d).select("url"), _languages(spark, d), table(spark, d, "judge_votes"))
 
 
 @query

@@ -18,14 +18,22 @@ def clean(documents: DataFrame, accept: int = 200) -> DataFrame:
     return paragraphs.once(made.select("doc_id", "url", "source", "article"), "content_hash", T.content_hash(F.col("article")))
 
 
+def first_of_contents(good: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """One row of ``good`` (doc_id, content_hash, ...) for each content, that of the least doc_id; none of ``seen``."""
+    rest = [c for c in good.columns if c != "content_hash"]
+    firsts = good.groupBy("content_hash").agg(F.min_by(F.struct(*rest), F.struct(F.col("doc_id").isNull(), *rest)).alias("_row")).select("content_hash", "_row.*")
+    return ordering.not_in(firsts, seen, "content_hash").select(*good.columns) if seen is not None else firsts.select(*good.columns)
+
+
 def corpus(documents: DataFrame, languages: DataFrame, vote_rows: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    """doc_id, filename, lang_folder, n_chars of every article that is new: the first of equal contents, none of ``seen``."""
-    good = cut(clean(documents).where("article is not null"))  # read three times below
-    marks = ordering.content_firsts(good, "doc_id", "content_hash", seen).where("not is_duplicate").select("doc_id")
-    kept = good.select("doc_id", "url", "source", F.length("article").alias("n_chars")).join(marks, "doc_id", "left_semi")
-    routed = votes.route(kept, languages, vote_rows)
-    named = kept.select("doc_id", "url", "n_chars", U.safe_filename(U.normalize_url(F.col("url"))).alias("filename"))
-    return named.join(routed.select("url", "lang_folder"), "url").select("doc_id", "filename", "lang_folder", "n_chars")
+    """doc_id, filename, lang_folder, n_chars of every article that is new: the first of equal contents, none of ``seen``.
+
+    Each article is one row whatever its url: null urls have a null filename and the folder ``unknown``, repeated urls
+    with different contents stay different articles. Articles travel as their hash and length only.
+    """
+    good = clean(documents).where("article is not null").select("doc_id", "url", F.length("article").alias("n_chars"), "content_hash")
+    routed = votes.route(cut(first_of_contents(good, seen)), languages, vote_rows)
+    return routed.select("doc_id", U.safe_filename(U.normalize_url(F.col("url"))).alias("filename"), "lang_folder", "n_chars")
 
 
 def auto(listing: DataFrame, manifest: DataFrame, prefixes: DataFrame) -> DataFrame:

@@ -98,10 +98,22 @@ ANCHORED = [x for x in C.PATTERNS if x.startswith("^")]
 
 
 def flagged(c: str) -> str:
-    together = " AND ".join(rf"regexp_matches({c}, '(?i)\b{w}\b')" for w in C.ALL_OF)
+    on_line = " AND ".join(rf"regexp_matches(x, '(?i)\b{w}\b')" for w in C.ALL_OF)
+    together = f"len(list_filter(string_split({c}, chr(10)), lambda x: {on_line})) > 0"
     return f"(list_contains({listed([x.lower() for x in C.LITERALS])}, lower({c})) OR regexp_matches({c}, {q('(?i)(?:' + '|'.join(ANCHORED + FREE) + ')')}) OR ({together}))"
 
 
+#: ``made``: the article of each document (null where at most 200 characters are left) and its hash.
+CLEANED = f"""
+n0 AS (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS p FROM documents WHERE text IS NOT NULL),
+n1 AS (SELECT doc_id, i, {strip('p')} AS p FROM n0 WHERE length({strip('p')}) >= 20),
+n2 AS (SELECT *, min(i) FILTER (WHERE {END}) OVER (PARTITION BY doc_id) AS e FROM n1),
+n3 AS (SELECT *, min(i) OVER v AS a, coalesce(max(i) FILTER (WHERE {KEEPER}) OVER v, 0) AS z FROM n2 WHERE e IS NULL OR i < e WINDOW v AS (PARTITION BY doc_id)),
+p AS (SELECT doc_id, i, p FROM n3 WHERE e IS NULL OR i <= greatest(a, z)), {DEDUPE},
+n4 AS (SELECT doc_id, string_agg(p, chr(10) || chr(10) ORDER BY i) AS article FROM r WHERE coalesce(next, 1) = 1 AND NOT {flagged('p')} GROUP BY doc_id),
+made AS (SELECT d.doc_id, d.url, source, CASE WHEN length(article) > 200 THEN article END AS article, CASE WHEN length(article) > 200 THEN {content_hash('article')} END AS content_hash FROM documents d LEFT JOIN n4 ON n4.doc_id = d.doc_id),
+firsts AS (SELECT * FROM made WHERE article IS NOT NULL QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) = 1)"""
+
 N_WORDS = f"len({words('p')})"
 SUSPICIOUS = f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -130,12 +142,22 @@ LOCAL = "('glotlid', 'openlid', 'lingua')"
 PANEL = f"pv AS (SELECT * FROM v WHERE judge IN {LOCAL} UNION ALL SELECT * FROM v WHERE judge = 'site_hint' AND url IN (SELECT url FROM v WHERE judge IN {LOCAL}))"
 ROUTE = f"""
 WITH {VALID}, {PANEL}, {resolved('pv')}, {LANGUAGES},
-e AS (SELECT doc_id, d.url, max(locked) AS locked, max_by(code, length(prefix)) AS code FROM documents d LEFT JOIN l ON l.domain = d.source AND starts_with({PATH.replace('url', 'd.url')}, prefix) GROUP BY doc_id, d.url)
+e AS (SELECT doc_id, d.url, max(locked) AS locked, max_by(code, length(prefix)) AS code FROM documents d LEFT JOIN l ON  l.domain = {DOMAIN.replace('url', 'd.url')} AND starts_with({PATH.replace('url', 'd.url')}, prefix) GROUP BY doc_id, d.url)
 SELECT e.url, CASE WHEN locked AND code IS NOT NULL THEN code WHEN winner_code IS NULL THEN 'unknown' WHEN disputed THEN 'disputed' ELSE winner_code END AS lang_folder,
   CASE WHEN locked AND code IS NOT NULL THEN 'locked' WHEN coalesce(disputed, false) THEN 'disputed' ELSE 'panel' END AS how
 FROM e LEFT JOIN r ON r.url = e.url
 """
 
+FILE = f"{RAW} || '__' || substr(regexp_replace(CASE WHEN {SLUG} = '' THEN 'index' ELSE {SLUG} END, '[^a-zA-Z0-9\\-_]', '_', 'g'), 1, 80) || '__' || substr(sha1(url), 1, 8) || '.txt'"
+CORPUS = f"""
+WITH {CLEANED}, {VALID}, {PANEL}, {resolved('pv', 'j')}, {LANGUAGES},
+e AS (SELECT doc_id, max(locked) AS locked, max_by(code, length(prefix)) AS code FROM firsts f LEFT JOIN l ON l.domain = {DOMAIN.replace('url', 'f.url')} AND starts_with({PATH.replace('url', 'f.url')}, prefix) GROUP BY doc_id),
+nu AS (SELECT doc_id, {NORM} AS url FROM firsts)
+SELECT firsts.doc_id, {FILE.replace('url', 'nu.url')} AS filename, CAST(length(article) AS INTEGER) AS n_chars,
+  CASE WHEN locked AND code IS NOT NULL THEN code WHEN winner_code IS NULL THEN 'unknown' WHEN disputed THEN 'disputed' ELSE winner_code END AS lang_folder
+FROM firsts JOIN e ON e.doc_id = firsts.doc_id JOIN nu ON nu.doc_id = firsts.doc_id LEFT JOIN jr ON jr.url = firsts.url
+"""
+
 # Candidates
 STRIPPED = strip("fragment")
 COVERED = f"coalesce({flagged(STRIPPED)}, false)"
@@ -166,6 +188,10 @@ NODES = "n AS (SELECT * FROM " + X.relation(X.NODES, "page_id, pre, post, parent
 def oracle_sql() -> dict[str, str]:
     seen = f"m AS (SELECT DISTINCT {NORM} AS norm FROM documents)"
     return {
+        "corpus_pipeline": CORPUS,
+        "article_text": f"WITH {CLEANED} SELECT doc_id, CAST(length(article) AS INTEGER) AS n_chars, content_hash FROM made",
+        "source_totals": f"WITH {CLEANED} SELECT source, count(*) AS n, CAST(sum(length(article)) AS BIGINT) AS n_chars FROM firsts GROUP BY source",
+        "run_counters": f"WITH {CLEANED} SELECT CASE WHEN article IS NULL THEN 'failed' WHEN doc_id IN (SELECT doc_id FROM firsts) THEN 'saved' ELSE 'duplicate' END AS status, count(*) AS n FROM made GROUP BY 1",
         "normalize_url": f"WITH {ADDRESSES} SELECT seq, {NORM} AS url_norm FROM u",
         "domain_key": f"WITH {ADDRESSES} SELECT seq, {DOMAIN} AS domain, {RAW} AS raw_domain FROM u",
         "safe_filename": _filename_query(),
@@ -181,7 +207,7 @@ def oracle_sql() -> dict[str, str]:
         "content_duplicates": f"WITH {HASHED}, k AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY content_hash) AS first_key FROM h WHERE content_hash IS NOT NULL) SELECT doc_id, first_key FROM k WHERE doc_id <> first_key",
         "content_known": f"WITH {HASHED} SELECT DISTINCT doc_id FROM h JOIN scraped_urls s ON s.content_hash = h.content_hash AND s.url <> h.url",
         "manifest_parse": "SELECT trim(string_split(v, chr(9))[1]) AS url, nullif(trim(string_split(v, chr(9))[2]), '') AS content_hash FROM " + X.relation(X.MANIFEST, "i, v") + " WHERE trim(v) <> ''",
-        "manifest_reconcile": "SELECT seq, url FROM scraped_urls WHERE url <> '' AND substr(sha1(url), 1, 8) IN (SELECT substr(sha1(url), 1, 8) FROM documents WHERE doc_id % 2 = 0)",
+        "manifest_reconcile": "SELECT seq, url FROM scraped_urls WHERE url <> '' AND substr(sha1(url), 1, 8) IN (SELECT substr(sha1(url), 1, 8) FROM documents)",
         "boilerplate_flag": f"WITH b AS (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS p FROM documents WHERE text IS NOT NULL UNION ALL SELECT candidate_id, -1, fragment FROM boilerplate_candidates WHERE fragment IS NOT NULL) SELECT doc_id, CAST(pos AS INTEGER) AS pos FROM b WHERE {flagged(strip('p'))}",
         "truncate_end_marker": f"WITH {LINES}, e AS (SELECT doc_id, min(i) FILTER (WHERE {END}) AS e FROM p GROUP BY doc_id), k AS (SELECT p.doc_id, i, CASE WHEN e IS NULL OR i < e THEN p END AS p FROM p JOIN e USING (doc_id)) SELECT doc_id, CAST(count(p) AS INTEGER) AS n, sha1(coalesce(string_agg(p, chr(10) ORDER BY i), '')) AS digest FROM k GROUP BY doc_id",
         "strip_trailing_fragment": f"WITH {LINES}, e AS (SELECT doc_id, greatest(1, coalesce(max(i) FILTER (WHERE {KEEPER}), 0)) AS e FROM p GROUP BY doc_id) SELECT doc_id, CAST(count(p) AS INTEGER) AS n, sha1(string_agg(p, chr(10) ORDER BY i)) AS digest FROM p JOIN e USING (doc_id) WHERE i <= e GROUP BY doc_id",
@@ -191,7 +217,7 @@ def oracle_sql() -> dict[str, str]:
         "llm_batches": f"WITH q AS ({SUSPICIOUS}), k AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM q WHERE suspicious) SELECT doc_id, n // {C.BATCH} AS batch_id, CAST(n % {C.BATCH} AS INTEGER) AS slot FROM k",
         "batch_payloads": f"WITH q AS ({SUSPICIOUS}), k AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM q WHERE suspicious) SELECT n // {C.BATCH} AS batch_id, count(*) AS n, least(8000, 200 + 300 * count(*)) AS max_tokens FROM k GROUP BY 1",
         "iso_normalize": "WITH m(a, b) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in C.ISO3.items()) + "), k AS (SELECT id, lower(string_split(replace(label, '__label__', ''), '_')[1]) AS c FROM " + X.relation(X.LABELS, "id, label") + ") SELECT id, coalesce(b, c) AS code FROM k LEFT JOIN m ON a = c",
-        "openlid_preprocess": rf"SELECT doc_id, sha1(regexp_replace(regexp_replace(lower(replace({strip('substr(text, 1, 2000)')}, chr(10), ' ')), '[^\p{{L}}\p{{M}}\p{{Nl}}\p{{Pc}}\x{{200c}}\x{{200d}}\s\p{{Z}}\x0b\x85]|\p{{Nd}}', '', 'g'), '[\s\p{{Z}}\x0b\x85]{{2,}}', ' ', 'g')) AS digest FROM documents WHERE text IS NOT NULL",
+        "openlid_preprocess": rf"SELECT doc_id, sha1(regexp_replace(regexp_replace(lower(replace({strip('text')}, chr(10), ' ')), '[^\p{{L}}\p{{M}}\p{{Nl}}\p{{Pc}}\x{{200c}}\x{{200d}}\s\p{{Z}}\x0b\x85]|\p{{Nd}}', '', 'g'), '[\s\p{{Z}}\x0b\x85]{{2,}}', ' ', 'g')) AS digest FROM documents WHERE text IS NOT NULL",
         "resolve_votes": f"WITH {VALID}, {resolved('v')} SELECT url, winner_code, round(winner_share, 6) AS winner_share, n_votes, disputed FROM r",
         "strict_votes": f"WITH {VALID}, {resolved('v')} SELECT url, disputed OR own < {C.MIN_JUDGES} AS disputed FROM r",
         "panel_verdict": f"WITH {VALID}, {PANEL}, {resolved('pv')} SELECT d.url, CASE WHEN winner_code IS NULL THEN 'unknown' WHEN disputed THEN 'disputed' ELSE winner_code END AS code, coalesce(disputed, false) AS disputed, winner_code, round(coalesce(winner_share, 0.0), 6) AS winner_share FROM documents d LEFT JOIN r ON r.url = d.url",
@@ -201,7 +227,7 @@ def oracle_sql() -> dict[str, str]:
         "pending_candidates": f"SELECT count(*) AS n FROM boilerplate_candidates WHERE {PENDING}",
         "candidate_groups": f"SELECT domain, reason, count(*) AS n, min(candidate_id) AS first_id FROM boilerplate_candidates WHERE {PENDING} GROUP BY domain, reason",
         "discard_pending": f"SELECT candidate_id, CASE WHEN {PENDING} THEN true ELSE reviewed END AS reviewed, CASE WHEN {PENDING} THEN true ELSE discarded END AS discarded, promoted FROM boilerplate_candidates",
-        "candidate_upsert": f"WITH k AS (SELECT candidate_id, coalesce(domain, '') AS dom, lower({strip(chr(99) + 'oalesce(fragment, ' + chr(39) * 2 + ')')}) AS key FROM boilerplate_candidates) SELECT min(candidate_id) AS candidate_id FROM k WHERE candidate_id % 3 <> 0 AND key <> '' AND (dom, key) NOT IN (SELECT (dom, key) FROM k WHERE candidate_id % 3 = 0) GROUP BY dom, key",
+        "candidate_upsert": f"WITH k AS (SELECT candidate_id, coalesce(domain, '') AS dom, lower({strip(chr(99) + 'oalesce(fragment, ' + chr(39) * 2 + ')')}) AS key FROM boilerplate_candidates) SELECT min(candidate_id) AS candidate_id FROM k WHERE key <> '' AND (dom, key) NOT IN (('bbc.com', 'contains upsetting scenes.'), ('', 'x')) GROUP BY dom, key",
         "lcp_lcs": f"WITH {ends('domain, reason', 'boilerplate_candidates')} SELECT domain, reason, n, prefix, suffix FROM e",
         "generalize_group": f"WITH {ends('domain, head', HEADED)} SELECT domain, head, n, {PATTERN} AS pattern FROM e",
         "literal_patterns": f"WITH f AS (SELECT DISTINCT domain, reason, {STRIPPED} AS fragment FROM boilerplate_candidates WHERE fragment IS NOT NULL) SELECT domain, reason, fragment, '^' || {ESCAPED('fragment')} || '$' AS pattern FROM f WHERE fragment <> ''",

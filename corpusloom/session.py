@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table in few files over all cores, for work that is bound by the processor; large ones stay as they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set (tests)."""
     sc = spark.sparkContext
