@@ -20,13 +20,14 @@ from ..session import cut
 FENCE = r"\A```(?:json)?\s*|\s*```\z"
 
 
-def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+def numbered(df: DataFrame, order: str | list[str], name: str) -> DataFrame:
     """``name``: place of each row from 0 by ``order`` (unique), without a global window.
 
     ``monotonically_increasing_id`` holds the partition and the place in it; a prefix sum over the partition counts
     (one row per partition) turns it into a dense number.
     """
-    placed = cut(df.repartitionByRange(F.col(order)).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id()))
+    columns = [order] if isinstance(order, str) else order
+    placed = cut(df.repartitionByRange(*map(F.col, columns)).sortWithinPartitions(*columns).withColumn("_id", F.monotonically_increasing_id()))
     split = placed.withColumn("_part", F.shiftrightunsigned("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = split.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.alias("a").join(F.broadcast(counts).alias("b"), F.col("b._part") < F.col("a._part"), "left").groupBy("a._part").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))
