@@ -1,19 +1,22 @@
 """Problem 1: page boilerplate mixed with main content.
 
-A standard-library parser streams over each text; every line gets its text length and the number of tags met on it.
-Texts kept by an extractor have few real tags left, so what stands for a link or a control also counts as one: menu
-separators, addresses, telephone numbers, times, the site's own name, and *furniture*, a line whose skeleton recurs
-in many documents of its source. What is removed is lines of furniture, and lists of other articles behind a label.
-The text-to-tag ratio of the lines is also smoothed with a Gaussian and split into two clusters, which gives the content
-regions, but these decide almost nothing: a short line outside them goes only after the body and right after a removed
-line, as headlines and subheads lie outside them too.
+A standard-library parser streams over each text and every line gets its text length and its number of tags. The ratio
+of the two, smoothed with a Gaussian over neighbouring lines, is split by a threshold between its two clusters: the
+lines above it are the content regions, all others are boilerplate (``content_regions``). Nothing else removes a line.
+
+An extractor has left few real tags, so those that the page must have had are restored first (``tags_of``): every
+word of a line counts as a link where the line is a menu (separators), a control (address, telephone, time, copyright,
+the site's own name or host), a short agency credit, a teaser behind a label, or *furniture*, a line whose skeleton
+recurs in many documents of its source.
 
 What recurs is learnt from all documents (``learn``): skeletons in at least ``SHARE`` of a source's documents
 (``MASKED_SHARE`` where names are masked), labels (furniture that rare short lines follow), the beginnings of headlines
-and of subheads, and the site's name. All of it is bounded by the thresholds, some hundred rows a source; up to
-``TABLE_ROWS`` rows travel as a broadcast variable, beyond that the work is done source group by source group.
+and of subheads, and the site's name. It is bounded by the thresholds, some hundred rows a source. Up to ``TABLE_ROWS``
+rows it travels as a broadcast variable; beyond, it is merged with the documents by source and salt (``_merged``), which
+gives the same rows.
 
-Null, empty and blank texts have no lines. Rows without a source share one nameless source.
+Null, empty and blank texts have no lines, texts that are cases of problem 4 keep all of theirs. Rows without a source
+share one nameless source.
 """
 
 from __future__ import annotations
@@ -37,13 +40,15 @@ from .p6_lookalikes import _latin_like, _other, simple
 SHORT = 200
 SHARE, MASKED_SHARE, LEAST_DOCS = 0.01, 0.02, 3
 LABEL_FOLLOWED = 0.6
-SIGMA = 1.0
-TABLE_ROWS = 2_000_000
+#: Restored tags a word, characters that count in a line, width of the smoothing, and bounds of the threshold.
+TAGS, LONG_ENOUGH, SIGMA, LOW, HIGH = 8, 80, 0.5, 1.5, 2.0
+#: Learnt rows that may be broadcast, and parts that each source's documents are split into beyond.
+TABLE_ROWS, SALTS = 200_000, 32
 
 DIGITS = re.compile(r"\d+")
 SPACES = re.compile(r"\s+")
 SEPARATORS = re.compile(r"\s[|/·>»•–]\s|\s{2,}")
-CONTROL = re.compile(r"\S@\S+\.\w|\+\d[\d ]{5,}|©|\b[a-z0-9-]+\.example\b|^\W*\d{1,2}\.\d{1,2}\.\d{4}(?:\s+\d{1,2}:\d{2})?\W*$")
+CONTROL = re.compile(r"\S@\S+\.\w|\+\d[\d ]{5,}|©|\bhttps?://|\bwww\.|^\W*\d{1,2}\.\d{1,2}\.\d{4}(?:\s+\d{1,2}:\d{2})?\W*$")
 TEASER = re.compile(r"\s[›»>→]$|\s\(\d+\)$")
 AGENCY = re.compile(r"^\W*[A-Z]{2,5}\W*$|^\W*[A-Za-z]{2,5}\W+[^\W\d]+(?:[ -][^\W\d]+)?\W*$|^[A-Z]{2,5}/\w+$")
 ENDS = (".", "!", "?", "…", ".”", ".“", ".»", ".’", '."', "”", "»", ",”")
@@ -262,157 +267,155 @@ def sites_of(rows: list) -> dict[str, Site]:
     return out
 
 
-REACH = 3
+REACH = 2
 KERNEL = [math.exp(-0.5 * (d / SIGMA) ** 2) for d in range(-REACH, REACH + 1)]
+KERNEL = [k / sum(KERNEL) for k in KERNEL]
 
 
 def content_regions(lengths: list[int], tags: list[int]) -> list[bool]:
-    """True for lines of the cluster with the higher smoothed text-to-tag ratio (two means, at most eight rounds)."""
-    ratio = [math.log1p(n / (1 + t)) for n, t in zip(lengths, tags)]
+    """True for lines whose smoothed text-to-tag ratio lies above the threshold between its two clusters.
+
+    The ratio is taken as a logarithm, of at most LONG_ENOUGH characters, so that one long paragraph doesn't lift its
+    neighbours. The threshold is the middle of the two cluster means (two means, at most eight rounds), kept between
+    LOW and HIGH, so that a text of one kind isn't split.
+    """
+    ratio = [math.log1p(min(n, LONG_ENOUGH) / (1 + t)) for n, t in zip(lengths, tags)]
     padded = [ratio[0]] * REACH + ratio + [ratio[-1]] * REACH
-    whole = sum(KERNEL)
-    smooth = [sum(map(operator.mul, KERNEL, padded[i : i + len(KERNEL)])) / whole for i in range(len(ratio))]
+    smooth = [sum(map(operator.mul, KERNEL, padded[i : i + len(KERNEL)])) for i in range(len(ratio))]
     low, high = min(smooth), max(smooth)
-    if high - low < 0.5:
-        return [high > math.log1p(80)] * len(smooth)
     for _ in range(8):
         split = (low + high) / 2
         up, down = [x for x in smooth if x > split], [x for x in smooth if x <= split]
-        new = sum(down) / len(down), sum(up) / len(up)
+        new = (sum(down) / len(down), sum(up) / len(up)) if up and down else (low, high)
         if new == (low, high):
             break
         low, high = new
-    split = (low + high) / 2
+    split = min(max((low + high) / 2, LOW), HIGH)
     return [x > split for x in smooth]
 
 
-def boilerplate(text: str, site: Site) -> list[int]:
-    """Numbers of the lines that are not part of the article."""
-    shaped = shape(text)
-    if not shaped:
-        return []
-    marks = _tags.count(text) if "<" in text else {}
+def tags_of(shaped: list[tuple[int, str]], text: str, source: str, site: Site) -> list[int]:
+    """Tags of each line that isn't blank: those the parser met, and those restored."""
+    real = _tags.count(text) if "<" in text else {}
     names = [n.casefold() for _, n in site.names]
+    host = source.casefold() if "." in source else None
     lines = [x for _, x in shaped]
-    long = [len(x) > SHORT for x in lines]
-    tags, gone, label = [], [], []
-    for i, (no, line) in enumerate(shaped):
-        t = marks.get(no, 0)
+    linked, label = [], []
+    for line in lines:
         furniture = marked = False
-        if not long[i]:
-            key = skeleton(line)
-            furniture = site.recurs(line, key)
+        if len(line) <= SHORT:
+            key, low, long = skeleton(line), line.casefold(), is_long(line)
             parts = len(SEPARATORS.findall(line))
-            t += parts
-            if CONTROL.search(line) and not is_long(line):
-                t += 2
-                furniture = True
-            if parts >= 2 and max(map(len, SEPARATORS.split(line))) <= 30:
-                furniture = True
-            low = line.casefold()
             own = next((n for n in names if n in low), None)
-            if own and not is_long(line):
-                t += 2
-                if parts or low.startswith(own) or low.endswith(own) or len(line) < 90:
-                    furniture = True
-            if TEASER.search(line):
-                t += 1
-                furniture = True
-            if len(line) < 30 and AGENCY.match(line):
-                furniture = True
-            if key in site.labels:
-                marked = True
-            elif ":" in line and skeleton(line.split(":", 1)[0]) in site.labels:
+            marked = key in site.labels
+            furniture = (
+                site.recurs(line, key)
+                or (not long and (CONTROL.search(line) is not None or (host is not None and host in low)))
+                or (parts >= 2 and max(map(len, SEPARATORS.split(line))) <= 30)
+                or (own is not None and not long and (parts > 0 or low.startswith(own) or low.endswith(own) or len(line) < 90))
+                or TEASER.search(line) is not None
+                or (len(line) < 30 and AGENCY.match(line) is not None)
+            )
+            if not marked and ":" in line and skeleton(line.split(":", 1)[0]) in site.labels:
                 furniture = marked = True
-            t += 2 * furniture
-        tags.append(t)
-        gone.append(furniture)
+        linked.append(furniture)
         label.append(marked)
-    inside = content_regions([len(x) for x in lines], tags)
-    body = [i for i in range(len(lines)) if not gone[i] and (long[i] or is_long(lines[i]))]
-    first = body[0] if body else len(lines)
-    last = body[-1] if body else -1
+    # A label and the teasers behind it are a list of links.
     i = 0
     while i < len(lines):
-        if label[i] and (i > 0 or gone[i]):
-            gone[i] = True
+        if label[i] and (i > 0 or linked[i]):
+            linked[i] = True
             j = i + 1
-            while j < len(lines) and not label[j] and not is_long(lines[j]) and not BULLET.match(lines[j]) and (TEASER.search(lines[j]) if gone[j] else NUMBER.match(lines[j]) or not lines[j].endswith(".")):
+            while j < len(lines) and not label[j] and not is_long(lines[j]) and not BULLET.match(lines[j]) and (TEASER.search(lines[j]) if linked[j] else NUMBER.match(lines[j]) or not lines[j].endswith(".")):
                 j += 1
             stop = j
-            if j < len(lines) and not gone[j] and j - 1 > i and site.is_subhead(lines[j - 1]):
+            if j < len(lines) and not linked[j] and j - 1 > i and site.is_subhead(lines[j - 1]):
                 stop = j - 1
-            for k in range(i + 1, stop):
-                gone[k] = True
+            linked[i + 1 : stop] = [True] * (stop - i - 1)
             i = max(stop, i + 1)
         else:
             i += 1
-    # The headline is the last short line before the body that is no furniture; of the short lines outside the regions,
-    # those after the body that follow a removed line go.
-    for k in range(len(lines)):
-        if gone[k] or k in (first - 1,) or inside[k] or is_long(lines[k]) or BULLET.match(lines[k]) or lines[k].endswith(ENDS):
-            continue
-        if k > last >= 0 and not site.is_subhead(lines[k]) and k > 0 and gone[k - 1]:
-            gone[k] = True
-    return [no for (no, _), g in zip(shaped, gone) if g]
+    return [real.get(no, 0) + (TAGS * len(line.split()) if link else 0) for (no, line), link in zip(shaped, linked)]
+
+
+def boilerplate(text: str | None, source: str | None, site: Site) -> list[int]:
+    """Numbers of the lines that are not part of the article; none in null and blank texts and cases of problem 4."""
+    if not text or text.isspace():
+        return []
+    shaped = shape(text)
+    inside = content_regions([len(x) for _, x in shaped], tags_of(shaped, text, source or "", site))
+    gone = [no for (no, _), keep in zip(shaped, inside) if not keep]
+    return [] if gone and is_residue(text) else gone
 
 
-def _per_source(documents: DataFrame, schema: str, handle) -> DataFrame:
+def _per_source(documents: DataFrame, schema: str, handle, table_rows: int | None = None) -> DataFrame:
     """Runs ``handle(rows, sites)`` with what was learnt."""
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text")
     learnt = cut(learn(documents))
-    n = learnt.count()
-    if n <= TABLE_ROWS:
-        shipped = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in learnt.select("source", "kind", "item", "n", "m", "k").toLocalIterator()])
-        held: dict = {}
+    if learnt.count() > (TABLE_ROWS if table_rows is None else table_rows):
+        return _merged(docs, learnt, schema, handle)
+    shipped = documents.sparkSession.sparkContext.broadcast([tuple(r) for r in learnt.select("source", "kind", "item", "n", "m", "k").toLocalIterator()])
+    held: dict = {}
+
+    def block(rows: dict) -> dict:
+        if not held:
+            held.update(sites_of(shipped.value) or {"": Site()})
+        return handle(rows, held)
 
-        def block(rows: dict) -> dict:
-            if not held:
-                held.update(sites_of(shipped.value) or {"": Site()})
-            return handle(rows, held)
+    return map_rows(docs, schema, block)
 
-        return map_rows(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text"), schema, block)
-    per = learnt.groupBy("source").agg(F.collect_list(F.struct("kind", "item", "n", "m", "k")).alias("learnt"))
-    joined = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), "text").join(per, "source", "left")
 
-    def joined_block(rows: dict) -> dict:
-        sites = {s: sites_of([(s, *(x[k] for k in ("kind", "item", "n", "m", "k"))) for x in items or []]).get(s, Site()) for s, items in zip(rows["source"], rows["learnt"])}
-        return handle(rows, sites)
+def _merged(docs: DataFrame, learnt: DataFrame, schema: str, handle) -> DataFrame:
+    """The same for any number of learnt rows: each source's documents are split by a salt, and what was learnt of the
+    source is sorted before each part, so a worker holds one source at a time."""
+    salted = docs.select(F.coalesce("source", F.lit("")).alias("source"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int").alias("salt"), F.lit(None).cast("struct<kind:string,item:string,n:bigint,m:bigint,k:bigint>").alias("learnt"), "doc_id", "text")
+    copied = learnt.select("source", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.struct("kind", "item", "n", "m", "k").alias("learnt"), F.lit(None).cast("bigint").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    sorted_ = copied.unionByName(salted).repartition("source", "salt").sortWithinPartitions("source", "salt", F.col("learnt").isNull())
+    held: dict = {"of": None, "site": Site()}
 
-    return map_rows(joined, schema, joined_block)
+    def block(rows: dict) -> dict:
+        parts: list[dict] = []
+        for source, salt, item, key, text in zip(rows["source"], rows["salt"], rows["learnt"], rows["doc_id"], rows["text"]):
+            if held["of"] != (source, salt):
+                held.update(of=(source, salt), site=Site())
+            if item is not None:
+                held["site"].add(*item.values())
+            else:
+                parts.append(handle({"doc_id": [key], "source": [source], "text": [text]}, {source: held["site"]}))
+        return {n: [x for p in parts for x in p[n]] for n in parts[0]} if parts else None
+
+    return map_rows(sorted_, schema, block)
 
 
 EMPTY = Site()
 
 
-def boilerplate_lines(documents: DataFrame) -> DataFrame:
-    """doc_id, line_no of the lines that are not part of the article; cases of problem 4 are left out."""
+def boilerplate_lines(documents: DataFrame, table_rows: int | None = None) -> DataFrame:
+    """doc_id, line_no of the lines that are not part of the article."""
 
     def handle(rows: dict, sites: dict[str, Site]) -> dict:
         out: dict[str, list] = {"doc_id": [], "line_no": []}
         for key, source, text in zip(rows["doc_id"], rows["source"], rows["text"]):
-            if not text or text.isspace():
-                continue
-            got = boilerplate(text, sites.get(source or "", EMPTY))
-            if got and not is_residue(text):
-                out["doc_id"] += [key] * len(got)
-                out["line_no"] += got
+            got = boilerplate(text, source, sites.get(source or "", EMPTY))
+            out["doc_id"] += [key] * len(got)
+            out["line_no"] += got
         return out
 
-    return _per_source(documents, "doc_id bigint, line_no int", handle)
+    return _per_source(documents, "doc_id bigint, line_no int", handle, table_rows)
 
 
-def main_content(documents: DataFrame) -> DataFrame:
+def main_content(documents: DataFrame, table_rows: int | None = None) -> DataFrame:
     """doc_id, text (only the main body's lines, byte for byte), n_removed; null texts stay null."""
 
     def handle(rows: dict, sites: dict[str, Site]) -> dict:
         texts, removed = [], []
         for source, text in zip(rows["source"], rows["text"]):
-            gone = set(boilerplate(text, sites.get(source or "", EMPTY))) if text else ()
+            gone = set(boilerplate(text, source, sites.get(source or "", EMPTY)))
             texts.append("\n".join(x for no, x in enumerate(text.split("\n"), 1) if no not in gone) if gone else text)
             removed.append(len(gone))
         return {"doc_id": rows["doc_id"], "text": texts, "n_removed": removed}
 
-    return _per_source(documents, "doc_id bigint, text string, n_removed int", handle)
+    return _per_source(documents, "doc_id bigint, text string, n_removed int", handle, table_rows)
 
 
 def found(documents: DataFrame) -> DataFrame:
