@@ -1,10 +1,14 @@
 """Problem 4: template residue and error-page text.
 
-One automaton over all phrases (messages, refusals, script notices and filler of 14 languages) finds every match of
-a text in one pass; unfilled placeholders and program messages of open form are added by one pattern. A line is
-residue if matches cover at least ``LINE_COVER`` of its characters that count (letters and figures), and a record is
-excluded if it has residue and nothing else but what may stand beside it: at most ``BESIDE`` short lines that are
-no sentences, such as a headline, a byline, a host name or a label.
+One automaton holds all patterns: what error pages, refusals and script notices say in 14 languages (parts of messages,
+so that other wordings made of the same parts match too), filler, words of mock Latin, words of program messages, and
+the openings of placeholders, whose forms are read on from where they open. It finds every match of a line in one pass.
+In a line with a telling match, a second automaton also covers the words that such messages are made of, and tokens
+that aren't words (numbers, paths, hashes, hosts) count as covered.
+
+A record is excluded if the matches cover at least ``COVER`` of the characters that count (letters and figures) of the
+document, and no paragraph of it stays uncovered. What may stand beside residue is left out of the document's length: at
+most ``BESIDE`` uncovered short lines that are no sentences, such as a headline, a byline, a host name or a label.
 
 Texts are compared in lower case after the consistent form of problem 6. Null, blank and merely short texts are no
 cases, nor are articles that mention or quote such text, as their paragraphs stay uncovered.
@@ -20,82 +24,151 @@ from pyspark.sql import DataFrame
 from ._common import fragments, map_rows, texts
 from .p6_lookalikes import simple
 
-LINE_COVER = 0.5
+COVER = 0.6
 BESIDE = 3
-#: A line beside residue is at most so long, and two together at most so long as a headline with its byline.
+#: A line beside residue is at most so long, and all of them together at most half as long again.
 BESIDE_CHARS = 170
 
-#: Messages by language: page missing, no access, failure, scripts needed (two wordings), other notices.
-MESSAGES = {
-    "en": ["page you are looking for could not be found", "page not found", "you do not have access to this page", "access denied", "you were refused by", "something went wrong on our side", "something went wrong", "try again later", "please turn on javascript to read this page", "please enable javascript", "javascript is required", "javascript is disabled", "your browser does not support scripts", "so the content cannot be shown", "gateway timeout", "internal server error", "service unavailable", "bad gateway", "too many requests", "seconds and reload", "session expired at", "session expired", "please sign in again", "checking your connection to", "request blocked by", "connection refused in", "connection refused", "traceback: keyerror", "traceback (most recent call last)", "cannot read properties of undefined", "template.py, line", "stack trace", "null pointer exception", "warning: undefined variable", "403 forbidden", "404 not found"],
-    "is": ["síðan sem þú leitar að fannst ekki", "þú hefur ekki aðgang að þessari síðu", "eitthvað fór úrskeiðis hjá okkur", "reyndu aftur síðar", "kveiktu á javascript til að lesa þessa síðu", "vafrinn þinn styður ekki skriftur", "efnið birtist því ekki"],
-    "da": ["siden, du leder efter, blev ikke fundet", "du har ikke adgang til denne side", "noget gik galt hos os", "prøv igen senere", "slå javascript til for at læse denne side", "din browser understøtter ikke scripts", "så indholdet kan ikke vises"],
-    "nb": ["fant ikke siden du leter etter", "du har ikke tilgang til denne siden", "noe gikk galt hos oss", "prøv igjen senere", "slå på javascript for å lese denne siden", "nettleseren din støtter ikke skript", "innholdet kan ikke vises"],
-    "nn": ["fann ikkje sida du leitar etter", "du har ikkje tilgang til denne sida", "noko gjekk gale hos oss", "noko gjekk gale", "prøv igjen seinare", "slå på javascript for å lese denne sida", "nettlesaren din støttar ikkje skript", "innhaldet kan ikkje visast"],
-    "sv": ["sidan du letar efter kunde inte hittas", "du har inte tillgång till den här sidan", "något gick fel hos oss", "försök igen senare", "slå på javascript för att läsa sidan", "din webbläsare stöder inte skript", "innehållet kan därför inte visas"],
-    "de": ["die gesuchte seite wurde nicht gefunden", "sie haben keinen zugriff auf diese seite", "bei uns ist etwas schiefgelaufen", "versuchen sie es später erneut", "bitte aktivieren sie javascript, um diese seite zu lesen", "ihr browser unterstützt keine skripte", "daher kann der inhalt nicht angezeigt werden"],
-    "nl": ["de pagina die je zoekt is niet gevonden", "je hebt geen toegang tot deze pagina", "er ging bij ons iets mis", "probeer het later opnieuw", "zet javascript aan om deze pagina te lezen", "je browser ondersteunt geen scripts", "de inhoud kan niet worden getoond"],
-    "fr": ["la page que vous cherchez est introuvable", "vous n'avez pas accès à cette page", "un problème est survenu de notre côté", "réessayez plus tard", "veuillez activer javascript pour lire cette page", "votre navigateur ne prend pas en charge les scripts", "le contenu ne peut être affiché"],
-    "es": ["no se ha encontrado la página que busca", "no tiene acceso a esta página", "algo ha fallado", "inténtelo de nuevo más tarde", "active javascript para leer esta página", "su navegador no admite scripts", "no se puede mostrar el contenido"],
-    "pt": ["a página que procura não foi encontrada", "não tem acesso a esta página", "algo correu mal do nosso lado", "tente mais tarde", "ative o javascript para ler esta página", "o seu navegador não suporta scripts", "o conteúdo não pode ser mostrado"],
-    "it": ["la pagina che cerchi non è stata trovata", "non hai accesso a questa pagina", "qualcosa è andato storto", "riprova più tardi", "attiva javascript per leggere questa pagina", "il tuo browser non supporta gli script", "il contenuto non può essere mostrato"],
-    "cy": ["ni ddaethpwyd o hyd i'r dudalen", "nid oes gennych fynediad i'r dudalen hon", "aeth rhywbeth o'i le", "rhowch gynnig arall arni", "trowch javascript ymlaen i ddarllen y dudalen hon", "nid yw eich porwr yn cefnogi sgriptiau", "ni ellir dangos y cynnwys"],
-    "ga": ["níor aimsíodh an leathanach atá á lorg agat", "níl rochtain agat ar an leathanach seo", "chuaigh rud éigin amú", "tharla fadhb ar ár dtaobh", "bain triail eile as ar ball", "bain triail eile as", "cuir javascript ar siúl chun an leathanach seo a léamh", "ní thacaíonn do bhrabhsálaí le scripteanna", "ní féidir an t-ábhar a thaispeáint"],
+#: Telling parts of messages by language: missing, refused, failed, scripts needed.
+TELLING = {
+    "en": "not found|can't be found|cannot be found|could not be found|couldn't be found|couldn't find|can't find|does not exist|doesn't exist|no longer exists|no longer available|access denied|access to this page|have access|permission to access|forbidden|were refused|refused to connect|went wrong|try again|error occurred|error has occurred|unexpected error|server error|timed out|timeout|can't be reached|bad gateway|bad request|service unavailable|temporarily unavailable|too many requests|rate limit|session expired|session has expired|sign in again|checking your|checking if the|verify you are|unusual traffic|javascript|support scripts|enable scripts|enable cookies|cannot be shown|under maintenance|request blocked|connection refused",
+    "is": "fannst ekki|finnst ekki|er ekki til|ekki aðgang|aðgangi hafnað|fór úrskeiðis|reyndu aftur|villa kom upp|styður ekki|birtist því ekki",
+    "da": "ikke fundet|findes ikke|kunne ikke findes|ikke adgang|ingen adgang|adgang nægtet|gik galt|prøv igen|opstod en fejl|understøtter ikke|kan ikke vises|ikke tilgængelig",
+    "nb": "fant ikke|ikke funnet|finnes ikke|ikke tilgang|ingen tilgang|gikk galt|prøv igjen|oppstod en feil|støtter ikke|kan ikke vises|ikke tilgjengelig",
+    "nn": "fann ikkje|ikkje funne|finst ikkje|ikkje tilgang|gjekk gale|oppstod ein feil|støttar ikkje|kan ikkje visast|ikkje tilgjengeleg",
+    "sv": "kunde inte hittas|hittades inte|finns inte|inte tillgång|åtkomst nekad|gick fel|försök igen|fel uppstod|fel har uppstått|stöder inte|inte visas|inte tillgänglig",
+    "de": "nicht gefunden|nicht finden|existiert nicht|nicht verfügbar|nicht erreichbar|keinen zugriff|zugriff verweigert|schiefgelaufen|schief gelaufen|später erneut|erneut versuchen|fehler aufgetreten|unterstützt keine|nicht angezeigt werden",
+    "nl": "niet gevonden|bestaat niet|niet beschikbaar|geen toegang|toegang geweigerd|iets mis|later opnieuw|probeer het|een fout opgetreden|ondersteunt geen|niet worden getoond",
+    "fr": "introuvable|n'existe pas|n'existe plus|pas été trouvée|pas accès|accès refusé|accès interdit|problème est survenu|erreur est survenue|réessayez|réessayer|ne prend pas en charge|être affiché|indisponible",
+    "es": "no se ha encontrado|no encontrada|no se encontró|no existe|no está disponible|no tiene acceso|acceso denegado|algo ha fallado|salió mal|ocurrido un error|producido un error|inténtelo|inténtalo|no admite|no se puede mostrar",
+    "pt": "não foi encontrada|não encontrada|não existe|não está disponível|não tem acesso|acesso negado|correu mal|deu errado|ocorreu um erro|tente mais|tente novamente|não suporta|não pode ser mostrado",
+    "it": "non è stata trovata|non trovata|non esiste|non disponibile|non hai accesso|accesso negato|andato storto|verificato un errore|riprova|non supporta|non può essere mostrato",
+    "cy": "ni ddaethpwyd o hyd|heb ei ganfod|ddim yn bodoli|nid oes gennych|rhywbeth o'i le|gynnig arall|yn cefnogi|ni ellir dangos",
+    "ga": "níor aimsíodh|gan aimsiú|níl rochtain|rud éigin amú|tharla fadhb|tharla earráid|bain triail|ní thacaíonn|ní féidir an",
+}
+#: What such messages are made of besides; covers a line only beside a telling match.
+BESIDES = {
+    "en": "page|site|website|url|address|link|content|server|request|requested|connection|browser|error|http|oops|sorry|please|the|this|that|that's|you|your|you're|looking for|is|was|were|it|to|on|in|of|for|by|we|an|has|been|be|or|may|seconds|reload|later|again|wait|after|ms|incident|gateway|internal|on our side|something|turn on|turned on|need|needs|enable|enabled|disable|disabled|required|requires|read|view|run|app|scripts|null|at|line|reading|variable|write|insert|title|subtitle|headline|caption|teaser|text|author|body",
+    "is": "síðan|síða|síðu|sem þú|leitar að|þú|hefur|að þessari|eitthvað|hjá okkur|síðar|kveiktu á|til að lesa|þessa|vafrinn|vafranum|þinn|efnið|skriftur|villa",
+    "da": "siden|side|du leder efter|blev|du|har|til denne|denne|noget|hos os|senere|slå|til|for at|læse|din browser|scripts|så indholdet|desværre|fejl|der",
+    "nb": "siden|side|du leter etter|du|har|til denne|denne|noe|hos oss|senere|slå på|for å|lese|nettleseren|din|skript|innholdet|beklager|dessverre|feil|det|en",
+    "nn": "sida|side|du leitar etter|du|har|til denne|denne|noko|hos oss|seinare|slå på|lese|nettlesaren|din|skript|innhaldet|orsak|feil|det",
+    "sv": "sidan|sida|du letar efter|du|har|till den här|den här|något|hos oss|senare|slå på|aktivera|för att|läsa|din webbläsare|skript|innehållet|kan därför|tyvärr|fel|ett",
+    "de": "die|diese|der|das|ein|gesuchte|angeforderte|seite|wurde|konnte|werden|sie|haben|auf|bei uns|ist|etwas|versuchen|es|bitte|aktivieren|um|zu|lesen|ihr|ihrem|browser|skripte|daher|kann|inhalt|leider|fehler",
+    "nl": "de|deze|pagina|die je zoekt|die u zoekt|is|er|ging|er ging|bij ons|je|hebt|u|heeft|tot|het|zet|aan|schakel|in|om|te lezen|browser|uw|scripts|inhoud|kan|helaas|fout|later",
+    "fr": "la|le|les|page|que vous|vous|cherchez|recherchez|demandée|est|n'avez|à cette|cette|un|une|de notre côté|plus tard|veuillez|activer|activez|pour lire|pour|votre navigateur|scripts|contenu|ne peut|désolé|erreur|oups",
+    "es": "la|el|página|que busca|que buscas|a esta|esta|algo|de nuevo|más tarde|active|activa|para leer|para|su navegador|scripts|contenido|lo sentimos|error|por favor|ha|se ha|un",
+    "pt": "a|o|página|que procura|solicitada|esta|algo|do nosso lado|mais tarde|novamente|ative|para ler|para|seu navegador|scripts|conteúdo|desculpe|erro|por favor|um",
+    "it": "la|il|pagina|che cerchi|richiesta|a questa|questa|qualcosa|è|più tardi|attiva|abilita|per leggere|per|tuo browser|gli script|contenuto|spiacenti|errore|un|si è",
+    "cy": "i'r|dudalen|tudalen|mynediad|fynediad|hon|aeth|rhowch|arni|trowch|ymlaen|i ddarllen|y|nid yw|eich porwr|sgriptiau|cynnwys|gwall",
+    "ga": "an|leathanach|atá á lorg|agat|ar|seo|chuaigh|eile as|as|ball|dtaobh|ár|cuir|siúl|chun|a léamh|do bhrabhsálaí|le scripteanna|t-ábhar|a thaispeáint|earráid",
+}
+FILLER = "sample paragraph|replace before publishing|goes here|text here|title here|dummy text|blindtext|lorem ipsum|asdf|jkl|qwerty|placeholder|[object object]|todo: write|insert text|undefined|nan|xxx"
+PROGRAMS = "traceback|stack trace|null pointer|nullpointerexception|cannot read propert|undefined variable|undefined index|fatal error|parse error|sqlstate|err_|keyerror|typeerror|valueerror|referenceerror|syntaxerror|runtimeerror|template.py|uncaught exception|unhandled exception|segmentation fault"
+#: Words that tell something only before a status of three figures.
+CODED = "error|http|status|fehler|erreur|feil|fejl|fel|fout|errore|erro|villa|gwall|earráid"
+STATUS = re.compile(r"(?: code| kode)?[ :]{0,2}[1-5]\d\d\b")
+#: Placeholders by their opening; each form is read from there.
+FORMS = {
+    "{": re.compile(r"\{\{[^{}\n]{0,60}\}\}|\{%[^%\n]{0,60}%\}|\{[a-z_][\w.:-]{0,60}\}"),
+    "${": re.compile(r"\$\{[^{}\n]{0,60}\}"),
+    "#{": re.compile(r"#\{[^{}\n]{0,60}\}"),
+    "<": re.compile(r"<%[^%\n]{0,60}%>|</?noscript>"),
+    "%": re.compile(r"%%[\w. -]{1,60}%%|%[a-z_]{3,40}%"),
+    "[": re.compile(r"\[\[[\w. -]{1,60}\]\]|\[(?:insert|your|add|enter) [\w ]{1,40}\]"),
+    "@@": re.compile(r"@@[\w. -]{1,60}@@"),
+    "__": re.compile(r"__[a-z][a-z_.]{0,58}[a-z]__"),
 }
-FILLER = ["sample paragraph", "replace before publishing", "title goes here", "subtitle goes here", "your text goes here", "text goes here", "dummy text", "blindtext", "lorem ipsum", "asdf asdf", "asdf", "jkl", "insert text here", "placeholder text", "[object object]", "todo: write"]
 #: Words of mock Latin; a line is filler if most of its words are such.
 MOCK_LATIN = frozenset(
     "adipiscing aliqua aliquam amet ante arbor arcu augue bibendum bonum caelum candor commodo consectetur consequat cras curabitur curat cursus dapibus diam dictum dignissim dolor dolore donec ductus efficitur egestas eget eiusmod elementum elit enim erat eros est euismod facilisis faucibus felis fermentum ferox feugiat finibus fluvis fringilla fusce gravida gravis habitant hendrerit humus iaculis id imperdiet integer interdum ipsum justo lacinia lacus laoreet lapis lectus leo libero ligula lobortis lorem luctus maecenas magna malesuada massa mattis mauris maximus mensis metus molestie mollis morbi nec neque nexus nibh nisi nisl non novum nulla nullam nunc odio orbis orci ornare pacem pellentesque pharetra phasellus placerat pontis porta porttitor posuere praesent pretium pulvinar purus quam quies quis quisque ramus rhoncus risus rutrum sagittis sapien scelerisque sed sem semper sit sodales solum sollicitudin suscipit suspendisse tantum tellus tempor tempus tincidunt tortor tristique turpis ullamcorper ultrices umbra urna ut valles varius vehicula vel velit venenatis ventus vestibulum vitae vivamus vix viverra volutpat vulputate zelus".split()
 )
-
-OPEN_FORMS = re.compile(
-    r"\{\{[^{}\n]{0,60}\}\}|[$#]\{[^{}\n]{0,60}\}|<%[^%\n]{0,60}%>|\{%[^%\n]{0,60}%\}|%%[\w. -]{1,60}%%|\[\[[\w. -]{1,60}\]\]|@@[\w. -]{1,60}@@|__[a-z][a-z_.]{0,58}[a-z]__"
-    r"|\[insert [\w ]{1,40} here\]|todo: write \w+(?: ?\(\d+\))?|</?noscript>|\bx{3,}(?: x{2,})*\b|\bundefined\b|\bnan(?:[.:-]nan)*\b|\[object object\]|\bnull\b"
-    r"|sqlstate\[\w+\]|\bat [\w.-]+\.(?:js|php|py|inc):\d+|\b(?:type|key|value|reference|syntax|runtime)error\b|\(reading '\w+'\)|\bupstream=\S+|\bafter \d+ ms\b|\bwait \d+\b|\bincident [0-9a-f]+|\bray [0-9a-f]+|\b[\w.]+\.(?:inc|php|js):\d+|\berr_\w+|\bin /[\w./-]+ on line \d+|\bvariable \$\w+"
-    r"|\b(?:http|error|fehler|erreur|feil|fejl|fel|fout|errore|erro|villa|gwall|earráid) ?\d{3}\b|^\W*\(?#?e?-?\d{3,6}\)?\s*[–:-]|\((?:e-)?#?\d{2,6}\)|\[#?\d{2,6}\]|\bkeyerror '\w+'|\b[0-9a-f]*\d[0-9a-f]*(?<=\w{8})\b|\([a-z0-9-]+\.example\)|\b[a-z0-9-]+\.(?:example|com|net|org)\b"
-)
-#: Of the open forms, those that say nothing alone: they only help to cover a line.
-WEAK = re.compile(r"^(?:\(?[a-z0-9-]+\.(?:example|com|net|org)\)?|\W*\(?#?e?-?\d{3,6}\)?\s*[–:-]|\((?:e-)?#?\d{2,6}\)|\[#?\d{2,6}\]|\b[0-9a-f]{8,}|wait \d+|after \d+ ms|null)$")
+#: Tokens that are no words: they hold a figure, a path, an assignment, a bracket or an inner dot.
+TECHNICAL = re.compile(r"\S*[\d=/\\_<>{}\[\]#@|$]\S*|\S+\.\S+|'\w+'")
 COUNTED = re.compile(r"\w", re.UNICODE)
 WORD = re.compile(r"[^\W\d_]+")
 
 
 @lru_cache(maxsize=1)
-def automaton():
+def automata():
+    """The automaton of telling patterns, with their kinds, and the one of the words besides."""
     import ahocorasick
 
-    found = ahocorasick.Automaton()
-    for phrase in {simple(p).lower() for group in [*MESSAGES.values(), FILLER] for p in group}:
-        found.add_word(phrase, len(phrase))
-    found.make_automaton()
-    return found
-
-
-def covered(line: str) -> tuple[float, bool]:
-    """Share of the counted characters of a lower-case line that matches cover; whether a telling match is among them."""
-    spans, strong = [], False
-    for end, size in automaton().iter(line):
-        spans.append((end + 1 - size, end + 1))
-        strong = True
-    words = WORD.findall(line)
-    if len(words) >= 3 and sum(map(MOCK_LATIN.__contains__, words)) >= 0.6 * len(words):
-        return 1.0, True
-    for m in OPEN_FORMS.finditer(line):
-        if m.end() > m.start():
-            spans.append(m.span())
-            strong = strong or not WEAK.match(m.group())
-    if not spans:
-        return 0.0, False
+    telling, besides = ahocorasick.Automaton(), ahocorasick.Automaton()
+    for group in BESIDES.values():
+        for phrase in group.split("|"):
+            phrase = simple(phrase)
+            besides.add_word(phrase, len(phrase))
+    for word in MOCK_LATIN:
+        if len(word) > 3:
+            telling.add_word(word, ("latin", len(word)))
+    for word in CODED.split("|"):
+        telling.add_word(word, ("coded", len(word)))
+    for group in [*TELLING.values(), FILLER, PROGRAMS]:
+        for phrase in group.split("|"):
+            phrase = simple(phrase)
+            telling.add_word(phrase, ("phrase", len(phrase)))
+    for opening in FORMS:
+        telling.add_word(opening, ("form", len(opening)))
+    telling.make_automaton()
+    besides.make_automaton()
+    return telling, besides
+
+
+def whole(line: str, a: int, b: int) -> bool:
+    """Whether a match stands as whole words: no letter or figure goes on at either end."""
+    return not (a and line[a].isalnum() and line[a - 1].isalnum()) and not (b < len(line) and line[b - 1].isalnum() and line[b].isalnum())
+
+
+def matches(line: str) -> list[tuple[int, int]]:
+    """Spans of a lower-case line that tell it as residue, by the automaton; [] for none."""
+    telling, _ = automata()
+    spans, latin = [], 0
+    for end, (kind, size) in telling.iter(line):
+        a, b = end + 1 - size, end + 1
+        if kind == "form":
+            if m := FORMS[line[a:b]].match(line, a):
+                spans.append(m.span())
+        elif kind == "latin":
+            latin += 1
+        elif line[a:b] == "xxx":
+            spans.append((a, b))
+        elif whole(line, a, b) or line[a:b] in ("err_", "cannot read propert"):
+            if kind == "phrase":
+                spans.append((a, b))
+            elif m := STATUS.match(line, b):
+                spans.append((a, m.end()))
+    if latin >= 2:
+        words = WORD.findall(line)
+        if len(words) >= 3 and sum(map(MOCK_LATIN.__contains__, words)) >= 0.6 * len(words):
+            return [(0, len(line))]
+    return spans
+
+
+def covered(line: str) -> tuple[int, int]:
+    """Characters of a line that residue covers, and all that count (letters and figures)."""
+    line = simple(line).lower().replace("’", "'")
+    spans = matches(line)
     total = len(COUNTED.findall(line))
+    if not spans:
+        return 0, total
+    if not total:
+        return 1, 1
+    _, besides = automata()
+    spans += [(end + 1 - size, end + 1) for end, size in besides.iter(line) if whole(line, end + 1 - size, end + 1)]
+    spans += [m.span() for m in TECHNICAL.finditer(line)]
     got = end = 0
     for a, b in sorted(spans):
         a = max(a, end)
         if b > a:
             got += len(COUNTED.findall(line[a:b]))
             end = b
-    if not total:
-        return (1.0 if spans else 0.0), strong
-    return got / total, strong
+    return got, total
+
+
+def sentences(line: str) -> bool:
+    """Whether a line reads as a paragraph: two or more sentences, or one of more than BESIDE_CHARS."""
+    return len(line) > BESIDE_CHARS or len(re.findall(r"[^\W\d_]{2,}[.!?…]['’”\"»“]?(?:\s|$)", line)) >= 2
 
 
 def is_residue(text: str | None) -> bool:
@@ -104,23 +177,28 @@ def is_residue(text: str | None) -> bool:
         return False
     lines = [s for x in text.split("\n") if (s := x.strip())]
     longest = max(lines, key=len)
-    if len(longest) > BESIDE_CHARS and not _line(longest)[0]:
-        return False
-    marked = [(x, *_line(x)) for x in lines]
-    if not any(residue and strong for _, residue, strong in marked):
-        return False
-    beside = [x for x, residue, _ in marked if not residue]
-    return len(beside) <= BESIDE and sum(map(len, beside)) <= 1.5 * BESIDE_CHARS and not any(sentences(x) for x in beside)
-
-
-def _line(line: str) -> tuple[bool, bool]:
-    cover, strong = covered(simple(line).lower())
-    return cover >= LINE_COVER, strong
-
-
-def sentences(line: str) -> bool:
-    """Whether a line reads as a paragraph: two or more sentences, or one of more than BESIDE_CHARS."""
-    return len(line) > BESIDE_CHARS or len(re.findall(r"[^\W\d_]{2,}[.!?…]['’”\"»“]?(?:\s|$)", line)) >= 2
+    if len(longest) > BESIDE_CHARS:
+        # A paragraph must be residue itself; most texts end here.
+        got, total = covered(longest)
+        if got < COVER * total:
+            return False
+    hit = length = 0
+    others: list[tuple[int, int]] = []
+    for line in lines:
+        got, total = covered(line)
+        if got and got >= COVER * total:
+            hit, length = hit + got, length + total
+        elif sentences(line):
+            return False
+        else:
+            others.append((len(line), total))
+    # The longest of the other lines may stand beside; what is left counts in the document's length.
+    room = 1.5 * BESIDE_CHARS
+    for place, (size, total) in enumerate(sorted(others, reverse=True)):
+        room -= size
+        if place >= BESIDE or room < 0:
+            length += total
+    return hit > 0 and hit >= COVER * length
 
 
 def residue(records: DataFrame) -> DataFrame:
