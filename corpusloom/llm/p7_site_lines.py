@@ -4,10 +4,12 @@ Lines are compared trimmed, in lower case and with runs of white space as one sp
 a source if it stands in at least ``least_docs`` of its documents and in at least ``least_share`` of them.
 
 A pre-aggregated count of places drops lines that cannot reach the threshold (a line has at least as many places
-as documents), so what goes on is at most 1 / least_share times the mean lines of a document, per source. For those
-each spelling's documents are stored as bitmaps, one for every 32,768 keys (zero runs vanish in compressed shuffle
-and parquet pages); the bitmaps of a line's spellings are united, their exact cardinality is held against the
-threshold, and a place is deleted if its document's bit is set. A hot line is split by the bitmaps' buckets.
+as documents), so what goes on is at most 1 / least_share times the mean lines of a document, per source. Documents are
+numbered densely, source by source, whatever their keys are. For each spelling of a line its documents are stored as a
+compressed bitmap: per ``CHUNK`` numbers the list of the 64-bit words that aren't empty, with their places. As a line
+that goes on stands in a twentieth of its source's documents or more, a bit takes 4 bytes or less. The bitmaps of a
+line's spellings are united word by word, their exact cardinality is held against the threshold, and a place is deleted
+if its document's bit is set. A hot line is split by its words.
 
 Null sources are no source, null and blank lines no lines; rows with a null doc_id count for their source's
 documents but have no bit. Repeated rows count once per doc_id.
@@ -18,49 +20,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import BLANKS, collapse, spaced
+from ..operators.replies import numbered
 from ..session import cut
 from ._common import site_key
 
-SPACE = "[\\\\s\\\\x1c-\\\\x1f]+"
+#: Document numbers of one bitmap row: 512 words.
+CHUNK = 1 << 15
 
 
-def normal(column: str) -> str:
-    """SQL of the compared form of a line."""
-    return f"trim(' ' from regexp_replace(lower({column}), '(?U){SPACE}', ' '))"
+def normal(column: str) -> F.Column:
+    """The compared form of a line."""
+    return F.trim(collapse(F.lower(F.col(column))))
 
 
 def lines(documents: DataFrame) -> DataFrame:
-    """source, doc_id, line_no, text of each non-blank line, with the hashes of its spelling and its compared form."""
-    split = documents.where("source is not null and text is not null and text <> ''").selectExpr("source", "cast(doc_id as bigint) doc_id", "posexplode(split(text, '\\n')) as (at, line)")
-    formed = split.selectExpr("source", "doc_id", "at + 1 as line_no", "line", f"{normal('line')} as form").where("form <> ''")
+    """source, doc_id, line_no of each non-blank line, with the hashes of its spelling and its compared form.
+
+    Whole texts are brought to the compared form and split beside the original, as a line's form, once exploded, would
+    be computed anew for the filter and for each hash.
+    """
+    squeezed = F.regexp_replace(spaced(F.lower("text"), BLANKS.replace("\n", "")), "  +", " ")
+    both = F.arrays_zip(F.split("text", "\n").alias("line"), F.split(squeezed, "\n").alias("form"))
+    split = documents.where("source is not null and text is not null and text <> ''").select("source", F.col("doc_id").cast("bigint").alias("doc_id"), F.posexplode(both).alias("at", "x"))
+    formed = split.selectExpr("source", "doc_id", "at + 1 as line_no", "x.line", "trim(x.form) as form").where("form <> ''")
     return formed.selectExpr("source", "doc_id", "line_no", "xxhash64(line) as spelling", "xxhash64(form) as h1", "xxhash64(form, 7) as h2")
 
 
+def document_numbers(documents: DataFrame) -> DataFrame:
+    """source, doc_id, number: dense over all documents in order of source and key."""
+    keys = documents.where("source is not null and doc_id is not null").select("source", F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    return numbered(keys, ["source", "doc_id"], "number").select("source", "doc_id", "number")
+
+
+def pack(words: DataFrame, *keys: str) -> DataFrame:
+    """Rows of (keys, word, bits) as bitmaps: keys, chunk, docs (the words that aren't empty, with their places)."""
+    per = F.lit(CHUNK // 64)
+    return words.groupBy(*keys, F.floor(F.col("word") / per).alias("chunk")).agg(F.collect_list(F.struct((F.col("word") % per).cast("smallint").alias("at"), "bits")).alias("docs"))
+
+
+def unpack(bitmaps: DataFrame, *keys: str) -> DataFrame:
+    return bitmaps.select(*keys, "chunk", F.explode("docs").alias("w")).select(*keys, (F.col("chunk") * (CHUNK // 64) + F.col("w.at")).alias("word"), "w.bits")
+
+
 def repeated_places(documents: DataFrame, least_docs: int = 4, least_share: float = 0.05) -> tuple[DataFrame, DataFrame]:
     """The places of lines that may be over-repeated, and the bitmaps of those that are.
 
-    The second has source, h1, h2, bucket, docs (bitmap) and n_docs (of the whole line).
+    The first has source, doc_id, number, line_no, spelling, h1, h2, needed; the second source, h1, h2, chunk, docs and
+    n_docs (of the whole line).
     """
     sizes = documents.where("source is not null").groupBy("source").agg(F.count("*").alias("n")).selectExpr("source", f"greatest({least_docs}, ceil(n * {least_share} - 1e-9)) as needed")
     all_lines = lines(documents)
     counted = all_lines.groupBy("source", "h1", "h2").agg(F.count("*").alias("places"))
     likely = cut(counted.join(sizes, "source").where("places >= needed").select("source", "h1", "h2", "needed"))
-    places = cut(all_lines.join(likely, ["source", "h1", "h2"]))
-    keyed = places.where("doc_id is not null").selectExpr("*", "bitmap_bucket_number(doc_id) as bucket", "bitmap_bit_position(doc_id) as bit")
-    spelt = keyed.groupBy("source", "h1", "h2", "needed", "bucket", "spelling").agg(F.expr("bitmap_construct_agg(bit)").alias("docs"))
-    united = cut(spelt.groupBy("source", "h1", "h2", "needed", "bucket").agg(F.expr("bitmap_or_agg(docs)").alias("docs")))
-    total = united.groupBy("source", "h1", "h2", "needed").agg(F.expr("sum(bitmap_count(docs))").alias("n_docs")).where("n_docs >= needed").select("source", "h1", "h2", "n_docs")
-    return places, united.join(total, ["source", "h1", "h2"]).select("source", "h1", "h2", "bucket", "docs", "n_docs")
+    places = all_lines.where("doc_id is not null").join(likely, ["source", "h1", "h2"])
+    places = cut(places.join(document_numbers(documents), ["source", "doc_id"]))
+    bit = F.expr("shiftleft(1L, cast(number % 64 as int))")
+    keys = ("source", "h1", "h2", "needed")
+    spelt = pack(places.groupBy(*keys, "spelling", F.floor(F.col("number") / 64).alias("word")).agg(F.bit_or(bit).alias("bits")), *keys, "spelling")
+    united = cut(pack(unpack(spelt, *keys).groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits")), *keys))
+    cardinality = F.aggregate("docs", F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w["bits"]))
+    total = united.groupBy(*keys).agg(F.sum(cardinality).alias("n_docs")).where("n_docs >= needed").select("source", "h1", "h2", "n_docs")
+    return places, united.join(total, ["source", "h1", "h2"]).select("source", "h1", "h2", "chunk", "docs", "n_docs")
 
 
 def deletable(documents: DataFrame, least_docs: int = 4, least_share: float = 0.05) -> tuple[DataFrame, DataFrame]:
     """(source, doc_id, line_no) of the lines to delete, by bitmap lookup; (source, h1, h2) of the repeated lines."""
     places, bitmaps = repeated_places(documents, least_docs, least_share)
     bitmaps = cut(bitmaps)
-    keyed = places.where("doc_id is not null").selectExpr("source", "h1", "h2", "doc_id", "line_no", "bitmap_bucket_number(doc_id) as bucket", "bitmap_bit_position(doc_id) as bit")
-    byte = F.expr("conv(hex(substring(docs, cast(bit div 8 as int) + 1, 1)), 16, 10)").cast("int")
-    hit = keyed.join(bitmaps.select("source", "h1", "h2", "bucket", "docs"), ["source", "h1", "h2", "bucket"])
-    hit = hit.where(byte.bitwiseAND(F.expr("cast(shiftleft(1, cast(bit % 8 as int)) as int)")) != 0)
+    words = unpack(bitmaps, "source", "h1", "h2")
+    keyed = places.selectExpr("source", "h1", "h2", "doc_id", "line_no", "number div 64 as word", "cast(number % 64 as int) as bit")
+    hit = keyed.join(words, ["source", "h1", "h2", "word"]).where(F.expr("getbit(bits, bit) = 1"))
     return hit.select("source", "doc_id", "line_no"), bitmaps.select("source", "h1", "h2").distinct()
 
 
@@ -76,7 +106,7 @@ def without_repeated_lines(documents: DataFrame, least_docs: int = 4, least_shar
 def found(documents: DataFrame, candidates: DataFrame) -> DataFrame:
     gone, repeated = deletable(documents)
     of_docs = gone.selectExpr("'document' as record_kind", "doc_id as record_id", "line_no").distinct()
-    shaped = candidates.where("domain is not null and fragment is not null").select(F.col("candidate_id").cast("bigint").alias("record_id"), site_key("domain").alias("source"), F.expr(normal("fragment")).alias("form")).where("form <> ''")
+    shaped = candidates.where("domain is not null and fragment is not null").select(F.col("candidate_id").cast("bigint").alias("record_id"), site_key("domain").alias("source"), normal("fragment").alias("form")).where("form <> ''")
     hashed = shaped.selectExpr("record_id", "source", "xxhash64(form) as h1", "xxhash64(form, 7) as h2")
     of_candidates = hashed.join(repeated, ["source", "h1", "h2"], "left_semi").selectExpr("'candidate' as record_kind", "record_id", "0 as line_no").distinct()
     return of_docs.unionByName(of_candidates)
