@@ -66,3 +66,20 @@ def fragments(candidates: DataFrame) -> DataFrame:
 
 def texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.lit("document").alias("record_kind"), F.col("doc_id").cast("bigint").alias("record_id"), "text")
+
+
+#: Members that one slice of a group holds at most, on average.
+SLICE = 1000
+
+
+def pairs_within(members: DataFrame, key: str, id_: str, a: str, b: str) -> DataFrame:
+    """All pairs ``a`` < ``b`` of members (``key``, ``id_``, distinct rows) of one group, for results that must hold them.
+
+    A group of n members is cut into n / SLICE slices that meet the whole group one by one, so no task holds the pairs
+    of a hot group.
+    """
+    sizes = members.groupBy(key).agg(F.ceil(F.count("*") / SLICE).cast("int").alias("_slices"))
+    sized = members.join(sizes, key)
+    left = sized.select(key, F.pmod(F.xxhash64(id_), F.col("_slices")).cast("int").alias("_slice"), F.col(id_).alias(a))
+    right = sized.select(key, F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"), F.col(id_).alias(b))
+    return left.join(right, [key, "_slice"]).where(F.col(a) < F.col(b)).select(a, b)

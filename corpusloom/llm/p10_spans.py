@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from ._common import MASK, map_rows, mix64
+from ._common import MASK, map_rows, mix64, pairs_within
 
 LENGTH = 250
 K = 128
@@ -173,8 +173,9 @@ def _shared(documents: DataFrame, length: int, k: int) -> tuple[DataFrame, DataF
     return places, cut(windows.join(counted.drop("a", "b"), ["minimiser", "window"]))
 
 
-def shared_pairs(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """doc_id_a < doc_id_b of all documents with an identical span of ``length`` characters within a line."""
+def passages(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
+    """passage, doc_id: all shared spans as membership, without pairs. Documents share a span if they stand in one
+    passage together; the same set of documents stands once."""
     places, windows = _shared(documents, length, k)
     chosen = windows.groupBy("minimiser", "n", "members").agg(F.min("window").alias("window"))
     rare = windows.join(chosen.select("minimiser", "window"), ["minimiser", "window"], "left_semi").select("minimiser", "window", "span_id").distinct()
@@ -182,12 +183,18 @@ def shared_pairs(documents: DataFrame, length: int = LENGTH, k: int = K) -> Data
     copies = at.select("minimiser", F.lit(None).cast("bigint").alias("window"), "span_id", "doc_id")
     meet = copies.unionByName(rare.join(at, ["minimiser", "span_id"]).select("minimiser", "window", F.lit(None).cast("bigint").alias("span_id"), "doc_id"))
     # The same set of documents meets again and again along a passage: one meeting per set goes on.
-    keyed = meet.withColumn("meeting", F.xxhash64("minimiser", "window", "span_id")).select("meeting", "doc_id").distinct()
-    sets = keyed.groupBy("meeting").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members")).where("n > 1")
-    one = sets.groupBy("n", "members").agg(F.min("meeting").alias("meeting"))
-    members = cut(keyed.join(one.select("meeting"), "meeting", "left_semi"))
-    a, b = members.select("meeting", F.col("doc_id").alias("doc_id_a")), members.select("meeting", F.col("doc_id").alias("doc_id_b"))
-    return a.join(b, "meeting").where("doc_id_a < doc_id_b").select("doc_id_a", "doc_id_b").distinct()
+    keyed = meet.withColumn("passage", F.xxhash64("minimiser", "window", "span_id")).select("passage", "doc_id").distinct()
+    sets = keyed.groupBy("passage").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members")).where("n > 1")
+    one = sets.groupBy("n", "members").agg(F.min("passage").alias("passage"))
+    return keyed.join(one.select("passage"), "passage", "left_semi")
+
+
+def shared_pairs(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
+    """doc_id_a < doc_id_b of all documents with an identical span of ``length`` characters within a line.
+
+    The pairs of a passage in many documents are written slice by slice; ``passages`` says the same without them.
+    """
+    return pairs_within(cut(passages(documents, length, k)), "passage", "doc_id", "doc_id_a", "doc_id_b").distinct()
 
 
 def shared_share(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
