@@ -42,15 +42,31 @@ def uniform(key: str, seed: int) -> F.Column:
     return F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 11).cast("double") / F.lit(float(1 << 53))
 
 
-def copies(sized: DataFrame, rate_table: DataFrame, key: str = "doc_id", seed: int = SEED) -> DataFrame:
-    """Each row of ``sized`` as often as it is taken, numbered by ``copy`` from 1. One rate row per source."""
-    joined = sized.join(rate_table.select("source", "rate"), "source")
+def copies(sized: DataFrame, rate_table: DataFrame, key: str = "coin", seed: int = SEED) -> DataFrame:
+    """Each row of ``sized`` as often as it is taken, numbered by ``copy`` from 1. One rate row per source.
+
+    The rates are broadcast: they have a row per row of the targets, which the caller wrote down, and documents of a
+    source that holds a third of all rows are never shuffled by it.
+    """
+    joined = sized.join(F.broadcast(rate_table.select("source", "rate")), "source")
     times = (F.floor("rate") + F.when(uniform(key, seed) < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
     return joined.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).drop("times", "rate")
 
 
+def with_coin(documents: DataFrame) -> DataFrame:
+    """doc_id, source, text, coin: what the random copy is drawn by, the key or, where it is null, the text."""
+    key = F.col("doc_id").cast("bigint")
+    return documents.select(key.alias("doc_id"), "source", "text", F.coalesce(key, F.xxhash64("text")).alias("coin"))
+
+
 def sized(documents: DataFrame, **tokenizer) -> DataFrame:
-    return encode.count_tokens(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", "text"), ["doc_id", "source"], **tokenizer)
+    return encode.count_tokens(with_coin(documents), ["doc_id", "source", "coin"], **tokenizer)
+
+
+def mixed_texts(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = SEED) -> DataFrame:
+    """doc_id, source, text, copy: the mixture itself, read from the documents a second time once the rates are known."""
+    table = cut(rates(sized(documents), targets, total_tokens))
+    return copies(with_coin(documents), table, seed=seed).select("doc_id", "source", "text", "copy")
 
 
 def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = SEED) -> DataFrame:
