@@ -1,10 +1,12 @@
 """Problem 8: encoding of the corpus with a public byte-level tokenizer.
 
 Forced-boundary splitting: a byte pair that occurs inside no vocabulary token can never be merged over, so
-a text may be cut there. The table of pairs is computed from the vocabulary; of the pairs it allows, the cuts
-used are those that are also ends of the tokenizer's own pre-tokens (before spaces, tabs and line ends that
-follow another character), so a fragment encodes alone as it does in its text. Fragments repeat, so each worker keeps the ids of those it has met (``memory`` entries at most) and
-encodes only new ones; the ids of the fragments are concatenated.
+a text may be cut there. The table of pairs is computed from the vocabulary. Of the pairs it allows, the cuts
+used first are those that are also ends of the tokenizer's own pre-tokens (before spaces, tabs and line ends that
+follow another character), so a fragment encodes alone as it does in its text. Fragments that are still long, as those
+of scripts without spaces, are cut again at forced pairs between two letters beyond ASCII, which lie inside one
+pre-token. Fragments repeat, so each worker keeps the ids of those it has met (``memory`` entries at most) and encodes
+only new ones; the ids of the fragments are concatenated.
 
 Null and empty texts have the empty list. Special tokens' strings are ordinary text.
 """
@@ -17,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +46,11 @@ def forced_pairs(vocabulary: dict[bytes, int]) -> np.ndarray:
     return free
 
 
+#: Fragments of more characters are cut again.
+LONG = 64
+#: A letter as the tokenizer's pattern counts it.
+LETTER = regex.compile(r"\p{L}")
+
 #: A run of these and what follows it up to the next run is a fragment.
 GAP = " \t\n\r"
 
@@ -65,7 +73,8 @@ class Encoder:
 
         vocabulary = ranks(folder, name)
         self.bpe = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens={})
-        self.blocked = frozenset(blocked(forced_pairs(vocabulary)))
+        self.free = forced_pairs(vocabulary)
+        self.blocked = frozenset(blocked(self.free))
         self.piece = re.compile(f"[{GAP}]*[^{GAP}]+|[{GAP}]+")
         self.known: dict[str, bytes] = {}
         self.memory = memory
@@ -75,14 +84,25 @@ class Encoder:
         ends = {x[-1] for x in pieces}
         if self.blocked.isdisjoint(ends) and max(ends) < "\u3000":
             return pieces
-        out, open_end = [], False
+        joined, open_end = [], False
         for piece in pieces:
             if open_end:
-                out[-1] += piece
+                joined[-1] += piece
             else:
-                out.append(piece)
+                joined.append(piece)
             open_end = piece[-1] in self.blocked or piece[-1] >= "\u3000"
-        return out
+        return [x for piece in joined for x in (self.cut(piece) if len(piece) > LONG else (piece,))]
+
+    def cut(self, piece: str) -> list[str]:
+        """A long fragment at its forced pairs between letters beyond ASCII: no token holds such a pair, and no rule of
+        the pre-tokens looks past two letters that stand side by side."""
+        out, start = [], 0
+        for at in range(1, len(piece)):
+            a, b = piece[at - 1], piece[at]
+            if a > "\x7f" and b > "\x7f" and at - start >= LONG // 4 and self.free[0x80 | (ord(a) & 0x3F), b.encode("utf-8", "surrogatepass")[0]] and LETTER.match(a) and LETTER.match(b):
+                out.append(piece[start:at])
+                start = at
+        return [*out, piece[start:]]
 
     def encode(self, text: str) -> bytes:
         """The ids of a text that isn't empty, as packed 32-bit integers."""
