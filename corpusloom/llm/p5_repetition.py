@@ -60,16 +60,32 @@ def no_repeated_run(words: list[str], n: int, room: float) -> bool:
 RULES = {"first_word": first_word, "first_two": first_two, "every_second_run": no_repeated_run}
 
 
-def order_rules(sample: list[str | None], n: int, least: float, min_words: int) -> list[str]:
-    """Names of the rules by rejections per second on the sample; without a sample, the order written."""
-    docs = [w for t in sample if t and len(w := t.lower().split()) >= min_words]
-    rated = []
-    for place, (name, rule) in enumerate(RULES.items()):
+def rate_rules(texts: list[str | None], n: int, least: float, min_words: int) -> dict[str, tuple[int, float]]:
+    """Rejections and seconds of each rule on some texts."""
+    docs = [w for t in texts if t and len(w := t.lower().split()) >= max(min_words, n)]
+    rated = {}
+    for name, rule in RULES.items():
         began = time.perf_counter()
         rejected = sum(rule(w, n, (1 - least) * (len(w) - n + 1) + 1e-9) for w in docs)
-        cost = time.perf_counter() - began
-        rated.append((-(rejected / cost) if docs and cost > 0 else 0.0, place, name))
-    return [name for _, _, name in sorted(rated)]
+        rated[name] = rejected, time.perf_counter() - began
+    return rated
+
+
+def order_rules(rated: dict[str, tuple[int, float]]) -> list[str]:
+    """Names of the rules by rejections per second; in the order written where nothing tells them apart."""
+    return sorted(RULES, key=lambda name: (-(rated[name][0] / rated[name][1]) if name in rated and rated[name][1] > 0 else 0.0, list(RULES).index(name)))
+
+
+def measured(documents: DataFrame, n: int, least: float, min_words: int, sample_rows: int) -> dict[str, tuple[int, float]]:
+    """The rules rated on a random sample of at most ``sample_rows`` texts, inside the workers."""
+
+    def block(rows: dict) -> dict:
+        rated = rate_rules(rows["text"], n, least, min_words)
+        return {"rule": list(rated), "rejected": [r for r, _ in rated.values()], "cost": [c for _, c in rated.values()]}
+
+    sample = documents.select("text").sample(False, 0.1, 11).limit(sample_rows)
+    got = map_rows(sample, "rule string, rejected bigint, cost double", block).groupBy("rule").agg(F.sum("rejected").alias("rejected"), F.sum("cost").alias("cost"))
+    return {r.rule: (r.rejected, r.cost) for r in got.collect()}
 
 
 def repeated_documents(documents: DataFrame, n: int = 5, least: float = 0.3, min_words: int = 30, sample_rows: int = 500) -> DataFrame:
@@ -77,8 +93,7 @@ def repeated_documents(documents: DataFrame, n: int = 5, least: float = 0.3, min
 
     Gives doc_id and run_share, the exact share. The sample of ``sample_rows`` rows only orders the rules.
     """
-    sample = [r[0] for r in documents.select("text").limit(sample_rows).collect()]
-    chosen = order_rules(sample, n, least, min_words)
+    chosen = order_rules(measured(documents, n, least, min_words, sample_rows))
 
     def block(rows: dict) -> dict:
         ids, shares = [], []
@@ -133,5 +148,57 @@ def repetition_profile(documents: DataFrame) -> DataFrame:
     return map_rows(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), schema, block)
 
 
+#: Shares at which a document is repetitive, by measure of the profile.
+LIMITS = {"line_share": 0.3, "sentence_share": 0.3, "repeated_chars": 0.2, "run2_share": 0.75, "run3_share": 0.6, "run4_share": 0.45, "run5_share": 0.3}
+
+
+def measure(name: str, low: str, words: list[str], lines: list[str]) -> float:
+    """One measure of the profile, computed alone."""
+    if name == "line_share":
+        return share(lines)
+    if name == "sentence_share":
+        return share([s for x in SENTENCE.findall(low) if (s := " ".join(x.split()))])
+    if name == "repeated_chars":
+        chars = sum(map(len, lines))
+        return 1.0 - sum(map(len, set(lines))) / chars if chars else 0.0
+    k = int(name[3])
+    total = len(words) - k + 1
+    return 1 - distinct_runs(words, k) / total if total > 0 else 0.0
+
+
+def repetitive(documents: DataFrame, limits: dict[str, float] = LIMITS, min_words: int = 30, sample_rows: int = 500) -> DataFrame:
+    """doc_id of documents of at least ``min_words`` words in which any measure reaches its limit.
+
+    The measures run as a short-circuit cascade, those first that tell most documents per second on a random sample;
+    the first that reaches its limit ends it, and the order never changes the result.
+    """
+
+    def parts(text: str) -> tuple[str, list[str], list[str]]:
+        low = text.lower()
+        return low, low.split(), [s for x in low.split("\n") if (s := " ".join(x.split()))]
+
+    def rate(rows: dict) -> dict:
+        docs = [p for t in rows["text"] if t and len((p := parts(t))[1]) >= min_words]
+        hit, cost = [], []
+        for name, limit in limits.items():
+            began = time.perf_counter()
+            hit.append(sum(measure(name, *p) >= limit - 1e-12 for p in docs))
+            cost.append(time.perf_counter() - began)
+        return {"rule": list(limits), "rejected": hit, "cost": cost}
+
+    sample = documents.select("text").sample(False, 0.1, 11).limit(sample_rows)
+    rated = {r.rule: r.rejected / r.cost if r.cost else 0.0 for r in map_rows(sample, "rule string, rejected bigint, cost double", rate).groupBy("rule").agg(F.sum("rejected").alias("rejected"), F.sum("cost").alias("cost")).collect()}
+    order = sorted(limits, key=lambda name: -rated.get(name, 0.0))
+
+    def block(rows: dict) -> dict:
+        ids = []
+        for key, text in zip(rows["doc_id"], rows["text"]):
+            if text and len((p := parts(text))[1]) >= min_words and any(measure(name, *p) >= limits[name] - 1e-12 for name in order):
+                ids.append(key)
+        return {"doc_id": ids}
+
+    return map_rows(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id bigint", block).distinct()
+
+
 def found(documents: DataFrame) -> DataFrame:
     return repeated_documents(documents).select("doc_id").distinct()
