@@ -30,6 +30,7 @@ def queries() -> dict[str, Query]:
         "p4_found": over(p4_residue.found, docs, candidates),
         "p5_found": over(p5_repetition.found, docs),
         "p5_profile": over(p5_repetition.repetition_profile, docs),
+        "p5_repetitive": over(p5_repetition.repetitive, docs),
         "p6_found": over(p6_lookalikes.found, docs, candidates),
         "p6_findings": over(lambda d, c: p6_lookalikes.findings(texts(d)).unionByName(p6_lookalikes.findings(fragments(c))), docs, candidates),
         "p6_text": over(lambda d, c: p6_lookalikes.consistent(texts(d).unionByName(fragments(c))), docs, candidates),
@@ -38,6 +39,8 @@ def queries() -> dict[str, Query]:
         "p8_ids": over(p8_encode.encode_documents, docs),
         "p9_mix": over(p9_mix.mix, docs, "mix_targets"),
         "p9_report": over(p9_mix.report, docs, "mix_targets"),
+        "p9_texts": over(p9_mix.mixed_texts, docs, "mix_targets"),
         "p10_found": over(p10_spans.found, docs),
+        "p10_passages": over(p10_spans.passages, docs),
         "p10_share": over(p10_spans.shared_share, docs),
     }

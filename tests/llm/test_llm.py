@@ -1,8 +1,10 @@
 import random
 import re
+import unicodedata
 
 import numpy as np
 import pytest
+from corpusloom.llm import _common as common
 from corpusloom.llm import p1_main_content as p1
 from corpusloom.llm import p2_near as p2
 from corpusloom.llm import p3_language as p3
@@ -18,6 +20,7 @@ from corpusloom.llm import sql
 from corpusloom.llm._common import fragments, texts
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ..helpers import by_duckdb, by_spark
 
@@ -88,8 +91,26 @@ def test_main_content(spark):
     kept = {r.doc_id: r for r in p1.main_content(docs(spark, rows)).collect()}
     assert kept[0].n_removed == 5 and kept[0].text.split("\n")[0] == rows[0][1].split("\n")[1]
     assert p1.content_regions([5, 5, 300, 280, 4], [3, 2, 0, 0, 2]) == [False, False, True, True, False]
+    merged = {tuple(r) for r in p1.boilerplate_lines(docs(spark, rows), table_rows=0).collect()}
+    assert merged == gone
+    texts_ = sorted(map(tuple, p1.main_content(docs(spark, rows)).collect()))
+    assert texts_ == sorted(map(tuple, p1.main_content(docs(spark, rows), table_rows=0).collect()))
 
 
+def test_regions_decide(monkeypatch):
+    """Without the clusters of the smoothed ratio no line goes, and without tags none lies outside."""
+    text = "Menu / News / Sport / Contact\nA headline of the day\n" + "The council met on Tuesday to discuss the bridge, said the mayor of the town. " * 4
+    assert p1.boilerplate(text, "s", p1.Site()) == [1]
+    assert all(p1.content_regions([40, 30, 300, 5, 300], [0] * 5))
+    monkeypatch.setattr(p1, "content_regions", lambda lengths, tags: [True] * len(lengths))
+    assert p1.boilerplate(text, "s", p1.Site()) == []
+
+
+def test_merged_tables_are_the_same_on_real_documents(spark):
+    given_ = spark.read.parquet(f"{DATA}/documents.parquet")
+    shipped, merged = ({tuple(r) for r in p1.boilerplate_lines(given_.repartition(n), table_rows=t).collect()} for n, t in ((1, None), (3, 0)))
+    assert shipped == merged and shipped
+
 def near_rows():
     rnd = random.Random(5)
     words = [f"w{i}" for i in range(400)]
@@ -184,7 +205,11 @@ def test_repetition(spark):
     assert {r.doc_id for r in p5.found(docs(spark, rows)).collect()} == {1}
     profile = {r.doc_id: r for r in p5.repetition_profile(docs(spark, rows)).collect()}
     assert profile[3].n_words == 0 and profile[2].run5_share == 0 and profile[1].run5_share == pytest.approx(1 - 6 / 56)
-    assert p5.order_rules([], 5, 0.3, 30) == list(p5.RULES)
+    assert p5.order_rules({}) == list(p5.RULES) and p5.order_rules({"first_two": (9, 1.0), "first_word": (1, 1.0)})[0] == "first_two"
+    many = [(i, f"{t} " * 3 + " ".join(f"w{i}x{k}" for k in range(40 * (i % 3)))) for i, t in enumerate(["the same line\n", "One. Two. Three four five six. ", "a b c d e f g h "] * 9)]
+    profile = {r.doc_id: r for r in p5.repetition_profile(docs(spark, many)).collect()}
+    want = {i for i, r in profile.items() if r.n_words >= 30 and any(getattr(r, k) >= v - 1e-12 for k, v in p5.LIMITS.items())}
+    assert {r.doc_id for r in p5.repetitive(docs(spark, many)).collect()} == want and 0 < len(want) < len(many)
 
 
 def test_lookalikes(spark):
@@ -272,5 +297,119 @@ def test_sliding_minimum():
         assert (p10.sliding_min(x, w) == np.array([x[i : i + w].min() for i in range(len(x) - w + 1)])).all()
 
 
-def test_normal_form_of_lines():
-    assert re.search("trim", p7.normal("x"))
+HELD_OUT = [
+    "Oops! That page can't be found.", "The requested URL was not found on this server.", "Sorry, this page isn't available.", "We couldn't find the page you were looking for.", "Hmm, we can't find that page.",
+    "This site can't be reached", "HTTP Error 404.0 - Not Found", "You need to enable scripts to view this site.", "You need to enable JavaScript to run this app.", "This website requires JavaScript. Please enable it in your browser settings.",
+    "For full functionality of this site it is necessary to enable JavaScript.", "JavaScript seems to be disabled in your browser.", "Sorry, you have been blocked", "You don't have permission to access this resource.", "Error establishing a database connection",
+    "There has been a critical error on this website.", "Our systems have detected unusual traffic from your computer network.", "Please verify you are a human", "The page you requested does not exist.", "This content is no longer available.",
+    "500 Internal Server Error", "503 Service Temporarily Unavailable", "The connection has timed out", "Uncaught TypeError: x is not a function at main.js:12:5", "java.lang.NullPointerException at com.site.Page.render(Page.java:42)",
+    "{title}", "%TITLE%", "[Insert headline here]", "Your text goes here", "Lorem ipsum dolor sit amet",
+    "Seite nicht gefunden", "Die angeforderte Seite konnte nicht gefunden werden.", "Bitte aktivieren Sie JavaScript in Ihrem Browser.", "Zugriff verweigert", "Es ist ein Fehler aufgetreten.",
+    "Page introuvable", "Désolé, cette page n'existe pas.", "Accès refusé", "Une erreur est survenue", "Veuillez activer JavaScript.",
+    "Página no encontrada", "Lo sentimos, la página que buscas no existe.", "Página não encontrada", "Pagina non trovata", "Pagina niet gevonden",
+    "Sidan kunde inte hittas", "Siden blev ikke fundet", "Siden finnes ikke", "Síðan fannst ekki", "Strona nie została znaleziona",
+]
+NO_RESIDUE = [
+    "Council not found guilty in bridge case, judge says", "Officials try again to find the missing boats", "Nothing went wrong at the harbour festival this year", "The ferry service is temporarily unavailable on Tuesdays in winter",
+    "Active las notificaciones para recibir noticias", "New website for the regional hospital", "45 % of the residents voted, 12% stayed at home", "Error costs team the title", "404 votes for the new school", "Enable notifications", "Accept cookies", "Please log in to comment",
+]
+
+
+def test_wordings_that_no_table_was_made_from():
+    """Messages of well-known servers and systems, written down after the phrase tables."""
+    assert sum(map(p4.is_residue, HELD_OUT)) >= 0.8 * len(HELD_OUT)
+    assert not any(map(p4.is_residue, NO_RESIDUE))
+
+
+def test_length_of_the_document_counts():
+    """Short lines beyond those that may stand beside residue count against it."""
+    beside = ["A headline of the day", "By Ann Lee", "Sport"]
+    more = ["Weather", "Economy and trade", "Local news", "Opinion of the week"]
+    assert p4.is_residue("\n".join([*beside, "Page not found"])) and not p4.is_residue("\n".join([*beside, *more, "Page not found"]))
+    assert p4.is_residue("\n".join([*beside, *more[:1], *["{{ title }} {{ body }} {{ intro }}"] * 5]))
+
+
+def test_hot_first_halves_give_the_same_candidates(spark):
+    base = docs(spark, near_rows())
+    signed = p2.sign_documents(base).select("id", F.explode("first").alias("bundle"), F.col("second").alias("others"))
+    cold, hot = ({tuple(r) for r in p2.candidates(signed, probe=1, hot=h).collect()} for h in (10**9, 1))
+    assert cold == hot and cold
+
+
+def test_slices_of_a_group_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(common, "SLICE", 7)
+    members = spark.createDataFrame([(g, i) for g, n in ((1, 40), (2, 1), (3, 8)) for i in range(n)], "g int, i bigint")
+    got = [tuple(r) for r in common.pairs_within(members, "g", "i", "a", "b").collect()]
+    assert len(got) == 40 * 39 // 2 + 8 * 7 // 2 and all(a < b for a, b in got)
+
+
+def test_composition_is_told_by_rule(spark):
+    rows = [(1, "e\u0301"), (2, "\u212b"), (3, "\u1100\u1161"), (4, "\u0928\u093c"), (5, "plain é"), (6, "x\u0302")]
+    made = {r.record_id: r.text for r in p6.consistent(texts(docs(spark, rows))).collect()}
+    assert made == {i: unicodedata.normalize("NFC", t) for i, t in rows}
+    spans = [[int(x, 16) for x in re.findall(r"(?:x|u|x\{)([0-9a-f]+)", part)] for part in re.findall(r"\\x?\S+?-\\(?:x\{\w+\}|\w+)", p6.SETTLED)]
+    settled = [chr(c) for a, b in spans for c in range(a, b + 1)]
+    assert len(spans) == 8 and all(unicodedata.is_normalized("NFC", c) and not unicodedata.combining(c) and not p6._odd.search(c) for c in settled)
+    assert all(unicodedata.is_normalized("NFC", f"{a}{b}") for a in "aeé≠" for b in settled)
+
+
+def test_bitmaps_are_small_and_exact(spark):
+    """Spread keys, several spellings of a line, and a line in a twentieth of the documents: at most 4 bytes a bit."""
+    rows = [(i * 1_000_003, ("SHARED line" if i % 2 else "shared  line") + f"\nown {i}" if i % 20 == 0 or i % 20 == 1 else f"own {i}", None, "a.example" if i % 3 else "b.example") for i in range(6000)]
+    places, bitmaps = p7.repeated_places(docs(spark, rows))
+    got = bitmaps.selectExpr("source", "size(docs) as words", "aggregate(docs, 0L, (n, w) -> n + bit_count(w.bits)) as bits", "n_docs").collect()
+    true = {s: sum(1 for r in rows if r[3] == s and "shared" in r[1].lower()) for s in ("a.example", "b.example")}
+    assert {r.source: r.n_docs for r in got} == true and all(10 * r.words <= 4 * r.bits for r in got)
+    gone, _ = p7.deletable(docs(spark, rows))
+    assert {(r.doc_id, r.line_no) for r in gone.collect()} == {(r[0], 1) for r in rows if "shared" in r[1].lower()}
+
+
+def test_training_needs_few_landmarks_and_little_memory():
+    import tracemalloc
+
+    rnd = random.Random(1)
+    letters = {c: "".join(rnd.sample("abcdefghijklmnopqrstuvwxyzáéíóúæøåß", 14)) for c in ("aa", "bb", "cc")}
+    samples = [(c, " ".join("".join(rnd.choice(own) for _ in range(6)) for _ in range(9)) + f" {i}") for c, own in letters.items() for i in range(700)]
+    tracemalloc.start()
+    model = p3.train(samples, 60)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    scores, _ = p3.Scorer(model).lines([t for _, t in samples[::50]])
+    assert np.mean([model.codes[k] == c for k, (c, _) in zip(scores.argmax(axis=1), samples[::50])]) >= 0.95
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.sampled_from("日本語漢字かなカナ한국어ไทยé'sñ 。、a1"), min_size=60, max_size=400))
+def test_encoding_of_unspaced_scripts(text):
+    enc = p8.encoder()
+    assert np.frombuffer(enc.encode(text), dtype=np.int32).tolist() == enc.bpe.encode_ordinary(text)
+
+
+def test_long_unspaced_text_is_cut():
+    rnd = random.Random(4)
+    text = "".join(chr(rnd.randrange(0x4E00, 0x9FA0)) for _ in range(5000))
+    enc = p8.encoder()
+    parts = enc.fragments(text)
+    assert "".join(parts) == text and max(map(len, parts)) < 1000 and len(parts) > 20
+    assert np.frombuffer(enc.encode(text), dtype=np.int32).tolist() == enc.bpe.encode_ordinary(text)
+
+
+def test_mixture_with_texts(spark):
+    rows = [(i, f"word {i} " * 20, None, "a.example" if i % 3 else "b.example") for i in range(300)] + [(None, f"keyless {i}", None, "a.example") for i in range(200)]
+    targets = spark.createDataFrame([("a.example", 0.5, 3), ("b.example", 0.5, 2)], "source string, target_share double, max_repeats int")
+    keys = sorted(((r.doc_id, r.source, r.copy) for r in p9.mix(docs(spark, rows), targets).collect()), key=repr)
+    texts_ = p9.mixed_texts(docs(spark, rows), targets).collect()
+    assert keys == sorted(((r.doc_id, r.source, r.copy) for r in texts_), key=repr)
+    assert 0 < sum(r.doc_id is None for r in texts_) and len({r.text for r in texts_ if r.doc_id is None}) > 1
+
+
+def test_passages_say_what_pairs_say(spark):
+    rnd = random.Random(6)
+    shared = ["".join(rnd.choice("abcdefgh ") for _ in range(300)) for _ in range(3)]
+    rows = [(i, "\n".join([shared[k] for k in range(3) if (i >> k) & 1] + [f"own {i}"])) for i in range(16)]
+    of = {}
+    for r in p10.passages(docs(spark, rows)).collect():
+        of.setdefault(r.passage, set()).add(r.doc_id)
+    pairs = {(a, b) for s in of.values() for a in s for b in s if a < b}
+    assert pairs == {tuple(r) for r in p10.found(docs(spark, rows)).collect()} == {(a, b) for a in range(16) for b in range(16) if a < b and a & b & 7}
