@@ -78,7 +78,7 @@ def pairs_within(members: DataFrame, key: str, id_: str, a: str, b: str) -> Data
     A group of n members is cut into n / SLICE slices that meet the whole group one by one, so no task holds the pairs
     of a hot group.
     """
-    sizes = members.groupBy(key).agg(F.ceil(F.count("*") / SLICE).cast("int").alias("_slices"))
+    sizes = members.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key, F.ceil(F.col("_n") / SLICE).cast("int").alias("_slices"))
     sized = members.join(sizes, key)
     left = sized.select(key, F.pmod(F.xxhash64(id_), F.col("_slices")).cast("int").alias("_slice"), F.col(id_).alias(a))
     right = sized.select(key, F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"), F.col(id_).alias(b))
