@@ -332,8 +332,16 @@ def test_length_of_the_document_counts():
 def test_hot_first_halves_give_the_same_candidates(spark):
     base = docs(spark, near_rows())
     signed = p2.sign_documents(base).select("id", F.explode("first").alias("bundle"), F.col("second").alias("others"))
-    cold, hot = ({tuple(r) for r in p2.candidates(signed, probe=1, hot=h).collect()} for h in (10**9, 1))
-    assert cold == hot and cold
+    cold, mixed, hot = ({tuple(r) for r in p2.candidates(signed, signed, 1, hot=h).collect()} for h in (10**9, 3, 1))
+    assert cold == mixed == hot and cold
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.integers(0, 300), min_size=1, max_size=200), st.sets(st.integers(0, 300), min_size=1, max_size=200))
+def test_sketches_are_a_lower_bound(x, y):
+    sets = [p2.mix64(np.array(sorted(s), dtype=np.uint64)) for s in (x, y)]
+    a, b = (np.frombuffer(k, dtype=np.uint8) for k in p2.parities(np.concatenate(sets), np.array([len(s) for s in sets])))
+    assert np.bitwise_count(a ^ b).sum() <= len(x ^ y)
 
 
 def test_slices_of_a_group_lose_no_pair(spark, monkeypatch):
