@@ -70,16 +70,14 @@ def looks_like_boilerplate(c: Column, extra: list[str] | None = None) -> Column:
     """
     bare = strip(c)
     low = F.lower(bare)
-    extra = extra or []
-    anchored = [p for p in [*C.PATTERNS, *extra] if p.startswith("^")]
+    anchored = [p for p in C.PATTERNS if p.startswith("^")]
     free = [p for p in C.PATTERNS if not p.startswith("^")]
-    open_extra = [p for p in extra if not p.startswith("^")]
     found = low.isin([x.lower() for x in C.LITERALS]) | low.rlike(f"(?Ud)^(?:{'|'.join(p[1:] for p in anchored)})")
     for p in free:
         needs = C.NEEDS[p]
         found = found | ((low.rlike(needs[1:]) if needs.startswith("~") else low.contains(needs)) & low.rlike(f"(?Ud){p}"))
-    if open_extra:
-        found = found | matches(bare, open_extra)
+    if extra:
+        found = found | matches(bare, extra)
     together, on_line = F.lit(True), lambda line: reduce(lambda a, w: a & line.rlike(rf"(?U)\b{w}\b"), C.ALL_OF, F.lit(True))
     for w in C.ALL_OF:
         together = together & low.contains(w)

@@ -22,16 +22,16 @@ def upsert(log: DataFrame, new: DataFrame, order: str) -> DataFrame:
     return firsts.select("r.*")
 
 
-def pending(candidates: DataFrame) -> Column:
-    """Neither reviewed nor discarded nor matched by an active pattern."""
+def pending(candidates: DataFrame, extra: list[str] | None = None) -> Column:
+    """Neither reviewed nor discarded nor matched by an active pattern; ``extra`` are patterns approved since."""
     is_set = lambda c: F.coalesce(F.col(c), F.lit(False))
-    covered = F.coalesce(T.looks_like_boilerplate(F.col("fragment")), F.lit(False))
+    covered = F.coalesce(T.looks_like_boilerplate(F.col("fragment"), extra), F.lit(False))
     return ~is_set("reviewed") & ~is_set("discarded") & ~covered & F.col("fragment").isNotNull()
 
 
-def discard_pending(candidates: DataFrame) -> DataFrame:
+def discard_pending(candidates: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Pending rows become reviewed and discarded."""
-    mark = candidates.withColumn("_p", pending(candidates))
+    mark = candidates.withColumn("_p", pending(candidates, extra))
     return mark.withColumn("reviewed", F.when(F.col("_p"), True).otherwise(F.col("reviewed"))).withColumn("discarded", F.when(F.col("_p"), True).otherwise(F.col("discarded"))).drop("_p")
 
 
@@ -65,29 +65,67 @@ def generalized(df: DataFrame, *keys: str) -> DataFrame:
     return e.select(*keys, "n", F.when(enough, F.concat(F.lit("^"), escape(p), F.lit(".+"), escape(s), F.lit("$"))).alias("pattern"))
 
 
+def literal(c: Column) -> Column:
+    return F.concat(F.lit("^"), escape(c), F.lit("$"))
+
+
+def same(a: str, b: str, *keys: str) -> Column:
+    """Equality of all keys of two aliases, nulls being equal."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
+    return out
+
+
 def suggestions(df: DataFrame, *keys: str) -> DataFrame:
-    """Per group: a generalized pattern that matches all its fragments, or a literal one if all are the same text."""
-    general = generalized(df, *keys).where("pattern is not null")
+    """Per group: a pattern from shared ends that matches all its fragments, or the literal of the first (least
+    candidate_id) if all are the same but for case; no row for other groups. Null keys are a group of their own."""
     rows = df.where(F.col("fragment").isNotNull()).withColumn("_f", T.strip(F.col("fragment")))
-    same = rows.groupBy(*keys).agg(F.min("_f").alias("lo"), F.max("_f").alias("hi")).where("lo = hi").select(*keys, F.concat(F.lit("^"), escape(F.col("lo")), F.lit("$")).alias("pattern"), F.lit(False).alias("generalized"))
-    checked = rows.join(general.select(*keys, "pattern"), list(keys)).groupBy(*keys, "pattern").agg(F.min(F.expr("_f rlike concat('(?iuUd)', pattern)")).alias("all_match"))
-    return checked.where("all_match").select(*keys, "pattern", F.lit(True).alias("generalized")).unionByName(same)
+    general = generalized(df, *keys).select(*keys, F.col("pattern").alias("_general"))
+    both = rows.alias("r").join(general.alias("g"), same("r", "g", *keys)).select("r.*", "_general")
+    matched = F.coalesce(F.expr("_f rlike concat('(?iuUd)', _general)"), F.lit(False))
+    per = both.groupBy(*keys, "_general").agg(F.min(matched).alias("_all"), F.min(F.lower("_f")).alias("_lo"), F.max(F.lower("_f")).alias("_hi"), F.min_by("_f", "candidate_id").alias("_first"))
+    is_general = F.col("_general").isNotNull() & F.col("_all")
+    pattern = F.when(is_general, F.col("_general")).when(F.col("_general").isNull() & (F.col("_lo") == F.col("_hi")), literal(F.col("_first")))
+    return per.select(*keys, pattern.alias("pattern"), F.coalesce(is_general, F.lit(False)).alias("generalized")).where("pattern is not null")
 
 
 def literals(df: DataFrame) -> DataFrame:
     """domain, reason, fragment and its literal pattern, each fragment once."""
     f = df.where(F.col("fragment").isNotNull()).select("domain", "reason", T.strip(F.col("fragment")).alias("fragment")).where("fragment <> ''").distinct()
-    return f.withColumn("pattern", F.concat(F.lit("^"), escape(F.col("fragment")), F.lit("$")))
-
-
-def review(candidates: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidates with their flags set by ``decisions`` (domain, reason, choice y/n), and the patterns approved."""
-    waiting = candidates.where(pending(candidates))
-    suggested = suggestions(waiting, "domain", "reason")
-    decided = suggested.join(decisions, ["domain", "reason"])
-    patterns = decided.where("choice = 'y'").select("domain", "reason", "pattern", "generalized")
-    marks = decided.select("domain", "reason", "choice").distinct()
-    joined = candidates.withColumn("_p", pending(candidates)).join(marks, ["domain", "reason"], "left")
-    hit = F.col("_p") & F.col("choice").isNotNull()
-    flagged = joined.withColumn("reviewed", F.when(hit, True).otherwise(F.col("reviewed"))).withColumn("promoted", F.when(hit & (F.col("choice") == "y"), True).otherwise(F.col("promoted")))
+    return f.withColumn("pattern", literal(F.col("fragment")))
+
+
+def proposals(candidates: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """candidate_id, domain, reason, url, pattern, generalized of every pending candidate: its group's suggestion, or its
+    own literal where the group's fragments are too different for one pattern."""
+    waiting = candidates.where(pending(candidates, extra)).select("candidate_id", "domain", "reason", "url", "fragment")
+    suggested = suggestions(waiting, "domain", "reason").withColumnRenamed("pattern", "_pattern")
+    joined = waiting.alias("w").join(suggested.alias("s"), same("w", "s", "domain", "reason"), "left")
+    own = literal(T.strip(F.col("w.fragment")))
+    return joined.select("w.candidate_id", "w.domain", "w.reason", "w.url", F.coalesce("_pattern", own).alias("pattern"), F.coalesce("generalized", F.lit(False)).alias("generalized"))
+
+
+def review(candidates: DataFrame, decisions: DataFrame, extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Candidates with their flags set by ``decisions`` (domain, reason, pattern, choice y/n), and the patterns approved.
+
+    A decision is about one proposed pattern of a group and marks all pending candidates it was proposed for; what is
+    not decided stays pending. The patterns come with the number of their candidates and the least url, for
+    ``append_patterns``; given back as ``extra`` they are active in the next step of a run.
+    """
+    proposed = proposals(candidates, extra)
+    wanted = decisions.groupBy("domain", "reason", "pattern").agg(F.max("choice").alias("choice")).where(F.col("choice").isin("y", "n"))
+    decided = proposed.alias("p").join(wanted.alias("d"), same("p", "d", "domain", "reason", "pattern")).select("p.*", "choice")
+    marks = decided.groupBy("candidate_id").agg(F.max("choice").alias("_choice"))
+    joined = candidates.join(marks, "candidate_id", "left")
+    hit, yes = F.col("_choice").isNotNull(), F.col("_choice") == "y"
+    flagged = joined.withColumn("reviewed", F.when(hit, True).otherwise(F.col("reviewed"))).withColumn("promoted", F.when(hit & yes, True).otherwise(F.col("promoted")))
+    patterns = decided.where("choice = 'y'").groupBy("domain", "reason", "pattern", "generalized").agg(F.count("*").alias("n"), F.min(F.when(F.col("url") != "", F.col("url"))).alias("example"))
     return flagged.select(*candidates.columns), patterns
+
+
+def end_of_run(candidates: DataFrame, choice: str, decisions: DataFrame | None = None) -> DataFrame:
+    """What becomes of pending candidates after a run: r reviews them by ``decisions``, d discards them, s or q leaves them."""
+    if choice == "r":
+        return candidates if decisions is None else review(candidates, decisions)[0]
+    return discard_pending(candidates) if choice == "d" else candidates

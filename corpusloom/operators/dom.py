@@ -19,6 +19,8 @@ from ..functions import text as T
 
 SCHEMA = "page_id bigint, pre int, post int, parent int, tag string, id string, class string, role string, itemprop string, component string, text string"
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Elements that end an open paragraph where they start.
+CLOSES_P = frozenset("p address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol pre section table ul".split())
 ATTRIBUTES = {"class": "class", "id": "id", "role": "role", "itemprop": "itemprop", "data-component": "component"}
 PART = re.compile(r"^(?:(?P<tag>[a-z]+)|\.(?P<class>[\w-]+)|#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?P<op>\*?=)'(?P<value>[^']*)'\])$")
 
@@ -33,7 +35,7 @@ class Tree(HTMLParser):
         self.clock = 0
 
     def handle_starttag(self, tag, attrs):
-        if tag == "p":
+        if tag in CLOSES_P:
             self._close("p")
         a = dict(attrs)
         if tag == "br":
@@ -70,6 +72,25 @@ class Tree(HTMLParser):
             self.clock += 1
 
 
+def node_text(node: dict) -> str:
+    return "\n".join(" ".join(x.split()) for x in "".join(node["parts"]).split("\n")).strip()
+
+
+def node_matches(node: dict, part: str) -> bool:
+    """``simple_selector`` for a node of a parsed page."""
+    m = PART.match(part)
+    if not m:
+        raise ValueError(f"selector not supported: {part}")
+    if m["tag"]:
+        return node["tag"] == m["tag"]
+    if m["class"]:
+        return m["class"] in (node["class"] or "").split()
+    if m["id"]:
+        return node["id"] == m["id"]
+    value = node[ATTRIBUTES[m["attr"]]] or ""
+    return m["value"] in value if m["op"] == "*=" else value == m["value"]
+
+
 def nodes(pages: DataFrame) -> DataFrame:
     """dom_nodes of pages (page_id, html), parsed once per page; null html has none."""
 
@@ -81,8 +102,7 @@ def nodes(pages: DataFrame) -> DataFrame:
                 tree.feed(html or "")
                 tree.close()
                 for n in tree.nodes:
-                    text = "\n".join(" ".join(x.split()) for x in "".join(n["parts"]).split("\n")).strip()
-                    out.append({"page_id": page, "text": text} | {k: n[k] for k in ("pre", "post", "parent", "tag", *ATTRIBUTES.values())})
+                    out.append({"page_id": page, "text": node_text(n)} | {k: n[k] for k in ("pre", "post", "parent", "tag", *ATTRIBUTES.values())})
             yield pd.DataFrame(out, columns=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return pages.select("page_id", "html").mapInPandas(run, SCHEMA)
@@ -140,11 +160,11 @@ def first_matches(matched: DataFrame) -> DataFrame:
 
 
 def container_rank(dom: DataFrame, selectors: list[str] | None = None, min_chars: int = 20) -> DataFrame:
-    """page_id, selector, place, n_paras, total_len of the first match of each selector; by length, then place."""
+    """page_id, selector, place, n_paras, total_len and preview of the first match of each selector, empty ones too."""
     boxes = first_matches(matches(dom, selectors or C.CANDIDATE_CONTAINERS))
     ps = dom.where((F.col("tag") == "p") & (F.length("text") >= min_chars))
-    held = boxes.alias("o").join(ps.alias("i"), inside("o", "i")).groupBy("o.page_id", "o.selector", "o.place")
-    counted = held.agg(F.count("*").alias("n_paras"), F.sum(F.length("i.text")).alias("total_len"), F.slice(F.transform(F.array_sort(F.collect_list(F.struct("i.pre", "i.text"))), lambda x: x["text"]), 1, 2).alias("preview"))
+    held = boxes.alias("o").join(ps.alias("i"), inside("o", "i"), "left").groupBy("o.page_id", "o.selector", "o.place")
+    counted = held.agg(F.count("i.pre").alias("n_paras"), F.coalesce(F.sum(F.length("i.text")), F.lit(0)).cast("bigint").alias("total_len"), F.slice(F.transform(F.array_sort(F.collect_list(F.when(F.col("i.pre").isNotNull(), F.struct("i.pre", "i.text")))), lambda x: x["text"]), 1, 2).alias("preview"))
     return counted.select("page_id", "selector", "place", "n_paras", "total_len", "preview")
 
 
@@ -197,6 +217,29 @@ def pick_container(ranked: DataFrame) -> DataFrame:
     return joined.select("page_id", chosen.alias("selector"), (~clean & F.col("alt").isNull()).alias("excludes"))
 
 
+def inspect(dom: DataFrame, pages: DataFrame) -> DataFrame:
+    """A draft override for every page: page_id, domain, article_selector, exclude_selectors, n_containers, n_checks (excludes to
+    look at by hand), page_chars (of all paragraphs) and diagnosis: ok, no_container, or no_text where the page is so
+    short that the article never loaded."""
+    from ..functions import urls as U
+
+    boxes = first_matches(matches(dom, C.CANDIDATE_CONTAINERS)).select("page_id", "selector", "pre", "post")
+    held = suspects(dom, boxes)
+    groups = held.groupBy("page_id", F.col("container").alias("selector")).agg(F.countDistinct("selector").alias("n_suspects"))
+    ranked = container_rank(dom).join(groups, ["page_id", "selector"], "left").na.fill(0, ["n_suspects"])
+    picked = pick_container(ranked).join(ranked.groupBy("page_id").agg(F.count("*").alias("n_containers")), "page_id")
+    places = held.groupBy("page_id", "container", "selector").agg(F.min("place").alias("place"))
+    made = exclude_selectors(held, "page_id", "container", "selector").join(places, ["page_id", "container", "selector"])
+    listed = made.groupBy("page_id", "container").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("place", "exclude"))), lambda x: x["exclude"])).alias("list"), F.sum(F.col("check").cast("int")).alias("n_checks"))
+    drafted = picked.join(listed.withColumnRenamed("container", "selector"), ["page_id", "selector"], "left")
+    whole = dom.where("tag = 'p'").groupBy("page_id").agg(F.sum(F.length("text")).alias("page_chars"))
+    out = pages.select("page_id", U.domain_key(U.netloc(F.col("url"))).alias("domain")).join(drafted, "page_id", "left").join(whole, "page_id", "left")
+    chars = F.coalesce("page_chars", F.lit(0)).cast("bigint")
+    excludes = F.when(F.col("excludes"), F.coalesce("list", F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+    diagnosis = F.when(F.col("selector").isNotNull(), "ok").when(chars < 500, "no_text").otherwise("no_container")
+    return out.select("page_id", "domain", F.col("selector").alias("article_selector"), excludes.alias("exclude_selectors"), F.coalesce("n_containers", F.lit(0)).cast("bigint").alias("n_containers"), F.when(F.col("excludes"), F.coalesce("n_checks", F.lit(0))).otherwise(F.lit(0)).cast("bigint").alias("n_checks"), chars.alias("page_chars"), diagnosis.alias("diagnosis"))
+
+
 def override_paragraphs(dom: DataFrame, selector: str, excludes: list[str], min_chars: int = 20) -> DataFrame:
     """page_id, ps: texts of all paragraphs inside any match, without those with an excluded ancestor anywhere."""
     ps = dom.where((F.col("tag") == "p") & (F.length("text") >= min_chars))
@@ -225,7 +268,7 @@ def links(pages: DataFrame) -> DataFrame:
     found = pages.select("page_id", F.col("url").alias("_page"), F.posexplode(F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*href\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1))).alias("seq", "href"))
     root = F.concat(U.scheme(F.col("_page")), F.lit("://"), U.netloc(F.col("_page")))
     folder = F.regexp_replace(U.path(F.col("_page")), r"[^/]*$", "")
-    href = F.trim("href")
+    href = F.trim(F.replace(F.col("href"), F.lit("&amp;"), F.lit("&")))
     absolute = (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(U.scheme(F.col("_page")), F.lit(":"), href))

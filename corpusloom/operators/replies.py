@@ -57,7 +57,7 @@ def asked(payload: DataFrame, ask: Callable[[str], str | None] | None = None) ->
                     raw.append(ask(text) if ask else None)
                 except Exception:  # noqa: BLE001  any failure is an empty reply
                     raw.append(None)
-            yield pd.DataFrame({"batch_id": f["batch_id"], "n": f["n"], "raw": raw})
+            yield pd.DataFrame({"batch_id": f["batch_id"], "n": f["n"], "raw": pd.Series(raw, dtype=object)})
 
     return payload.select("batch_id", "n", "payload").mapInPandas(run, "batch_id bigint, n bigint, raw string")
 
@@ -71,6 +71,42 @@ def parsed(replies: DataFrame) -> DataFrame:
     return _candidates(last)
 
 
+def logged(fragments: DataFrame, batched: DataFrame, documents: DataFrame) -> DataFrame:
+    """Parsed candidates (batch_id, slot, pos, fragment, reason) as entries for the candidate log: doc_id, url, domain,
+    fragment, reason, and ``place``, the order in which they came."""
+    from ..functions import urls as U
+
+    where = fragments.join(batched.select("batch_id", "slot", "doc_id"), ["batch_id", "slot"])
+    place = F.col("batch_id") * 1_000_000_000 + F.col("slot") * 1_000_000 + F.col("pos")
+    at = where.join(documents.select("doc_id", "url"), "doc_id")
+    return at.select("doc_id", "url", U.raw_domain(U.netloc(F.col("url"))).alias("domain"), "fragment", "reason", place.alias("place"))
+
+
+def ask_language(rows: DataFrame, ask: Callable[[str], str | None] | None = None, limit: int = 2000) -> DataFrame:
+    """url, raw: the model's reply on the first ``limit`` characters of each text; null without a model or if it fails.
+
+    Give it only rows that need one (disputed urls). One that gives None ran out of quota and isn't asked again in its
+    partition.
+    """
+
+    def run(frames):
+        spent = ask is None
+        for f in frames:
+            raw = []
+            for text in f["text"]:
+                got = None
+                if not spent and isinstance(text, str) and text.strip():
+                    try:
+                        got = ask(text)
+                        spent = got is None
+                    except Exception:  # noqa: BLE001  any failure is no opinion
+                        got = None
+                raw.append(got)
+            yield pd.DataFrame({"url": f["url"], "raw": pd.Series(raw, dtype=object)})
+
+    return rows.select("url", F.substring("text", 1, limit).alias("text")).mapInPandas(run, "url string, raw string")
+
+
 def _items(items: DataFrame) -> DataFrame:
     numbered_items = items.select("batch_id", "n", F.posexplode(F.expr("try_cast(_v as array<variant>)")).alias("item", "x"))
     id_ = F.expr("coalesce(try_variant_get(x, '$.id', 'bigint'), cast(try_variant_get(x, '$.id', 'boolean') as bigint))")

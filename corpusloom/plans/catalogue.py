@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..functions import text as T
 from ..functions import urls as U
+from ..functions.judges import panel_votes
 from ..operators import candidates as K
 from ..operators import dom as D
+from ..operators import extract
 from ..operators import ordering as O
 from ..operators import paragraphs as P
 from ..operators import replies as R
@@ -21,6 +24,7 @@ from ..sources import manifest as M
 from . import fixtures as X
 from . import pipeline
 from . import sql
+from .pages import pages as made_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 _all: dict[str, Query] = {}
@@ -254,10 +258,29 @@ def batch_payloads(spark, d):
     return R.payloads(R.batches(_docs(spark, d))).select("batch_id", "n", "max_tokens")
 
 
+def short_first_lines(payload: str) -> str:
+    """Stands in for a model: proposes the first line of each text that has at most 60 characters."""
+    items = [(x["id"], x["text"].split("\n")[0].strip(" \r")) for x in json.loads(payload)]
+    reply = [{"id": i, "candidates": [{"fragment": t, "reason": "short first line"}] if 0 < len(t) <= 60 else []} for i, t in items]
+    return f"```json\n{json.dumps(reply, ensure_ascii=False)}\n```"
+
+
+def _replied(spark, d):
+    batched = cut(R.batches(_docs(spark, d)))
+    return R.parsed(R.asked(R.payloads(batched), short_first_lines)), batched
+
+
 @query
 def batch_replies(spark, d):
-    """Without a model every batch has an empty reply."""
-    return R.asked(R.payloads(R.batches(_docs(spark, d))))
+    """Suspicious documents, batches, payloads, replies of a model's stand-in, and what is read from them."""
+    return _replied(spark, d)[0].select("batch_id", F.col("slot").cast("int").alias("slot"), "pos", "fragment", "reason")
+
+
+@query
+def batch_candidates(spark, d):
+    """What the replies add to the candidate log."""
+    found, batched = _replied(spark, d)
+    return K.upsert(table(spark, d, "boilerplate_candidates"), R.logged(found, batched, _docs(spark, d)), "place").select("doc_id", "url", "domain", "fragment", "reason")
 
 
 @query
@@ -313,6 +336,41 @@ def tiebreak_verdict(spark, d):
     return _shown(V.tiebreak(table(spark, d, "judge_votes"), _second_opinion(spark, d)))
 
 
+def _stand_in(rule):
+    """A loader as a model has it: the callable is made on the worker."""
+    return lambda: rule
+
+
+JUDGES = {
+    "glotlid": _stand_in(lambda t: ("__label__isl_Latn", 0.9) if "ð" in t else ("__label__eng_Latn", 0.2)),
+    "openlid": _stand_in(lambda t: ("__label__isl_Latn", 0.8) if "þ" in t else None),
+    "lingua": _stand_in(lambda t: ("en", 0.6) if " the " in t else ("kl", 0.7) if "q" in t else None),
+}
+
+
+@query
+def judge_panel(spark, d):
+    """Votes of three stand-ins for the models, with the site's hint: thresholds, abstentions, the closed list."""
+    sites = table(spark, d, "site_overrides").select(F.col("domain").alias("source"), "code")
+    docs = _docs(spark, d).select("url", "text", "source")
+    return panel_votes(docs, JUDGES, docs.join(sites, "source").select("url", "code"), codes=["is", "en"])
+
+
+def common_words(text: str) -> str:
+    """Stands in for a model that names a language."""
+    return '{"language_code": "EN", "confidence": 0.8}' if " the " in text else '{"language_code": "is"}'
+
+
+@query
+def llm_tiebreak(spark, d):
+    """Disputed urls are asked about, the reply is read and votes once more."""
+    votes = table(spark, d, "judge_votes")
+    disputed = V.resolve(V.panel(V.valid(votes))).where("disputed").select("url")
+    asked = R.ask_language(_docs(spark, d).join(disputed, "url", "left_semi"), common_words)
+    named = R.language_reply(asked).where("reply_code is not null").select("url", F.col("reply_code").alias("code"), F.col("reply_confidence").alias("confidence"))
+    return _shown(V.tiebreak(votes, named))
+
+
 @query
 def route_language(spark, d):
     return V.route(_docs(spark, d).select("url"), _languages(spark, d), table(spark, d, "judge_votes"))
@@ -370,19 +428,44 @@ def suggested_patterns(spark, d):
     return K.suggestions(table(spark, d, "boilerplate_candidates").withColumn("head", F.lower(F.substring("fragment", 1, 12))), "domain", "head")
 
 
+def _decided(candidates):
+    """Decisions on every proposal, y or n by the length of its pattern, as someone who looks at them would write down."""
+    made = K.proposals(candidates).select("domain", "reason", "pattern").distinct()
+    return made.withColumn("choice", F.when(F.length("pattern") % 2 == 0, "y").otherwise("n"))
+
+
+@query
+def review_proposals(spark, d):
+    return K.proposals(table(spark, d, "boilerplate_candidates")).select("candidate_id", "pattern", "generalized")
+
+
 @query
 def review_flags(spark, d):
     c = table(spark, d, "boilerplate_candidates")
-    decisions = c.select("domain", "reason").distinct().withColumn("choice", F.when(F.length("reason") % 2 == 0, "y").otherwise("n"))
-    return K.review(c, decisions)[0].select("candidate_id", "reviewed", "discarded", "promoted")
+    return K.review(c, _decided(c))[0].select("candidate_id", "reviewed", "discarded", "promoted")
+
+
+@query
+def review_patterns(spark, d):
+    c = table(spark, d, "boilerplate_candidates")
+    return K.review(c, _decided(c))[1]
 
 
 # Pages
 
 
-def _dom(spark):
-    rows = [(p, a, b, up, tag, None, cls, None, None, None, text) for p, a, b, up, tag, cls, text in X.NODES]
-    return X.frame(spark, rows, D.SCHEMA)
+def _pages(spark, d):
+    """Pages made from the documents, and literal ones with page_id below 0 (without a site)."""
+    own = made_pages(_docs(spark, d), table(spark, d, "site_overrides"))
+    odd = X.frame(spark, [(-i, u, h, None, None) for i, u, h in X.PAGES], "page_id bigint, url string, html string, article_selector string, exclude_selectors array<string>")
+    return own.unionByName(odd)
+
+
+def _dom(spark, d):
+    """Elements of the pages made from documents, and literal ones with page_id below 0."""
+    rows = [(-p, a, b, up, tag, None, cls, None, None, None, text) for p, a, b, up, tag, cls, text in X.NODES]
+    made = D.nodes(made_pages(_docs(spark, d), table(spark, d, "site_overrides")))
+    return cut(made.unionByName(X.frame(spark, rows, D.SCHEMA)))  # each selector reads it
 
 
 @query
@@ -392,29 +475,32 @@ def hash_like(spark, d):
 
 @query
 def dedupe_nested(spark, d):
-    return D.outermost(D.select(_dom(spark), "[class*='share']")).select("page_id", "pre", "tag")
+    return D.outermost(D.select(_dom(spark, d), "[class*='share']")).select("page_id", "pre", "tag")
 
 
 @query
 def container_rank(spark, d):
-    return D.container_rank(_dom(spark)).select("page_id", "selector", "n_paras", "total_len")
+    return D.container_rank(_dom(spark, d)).select("page_id", "selector", "n_paras", "total_len")
+
+
+def _suspects(dom):
+    boxes = D.first_matches(D.matches(dom, C.CANDIDATE_CONTAINERS)).select("page_id", "selector", "pre", "post")
+    return D.suspects(dom, boxes)
 
 
 @query
 def container_suspects(spark, d):
-    dom = _dom(spark)
-    boxes = D.first_matches(D.matches(dom, C.CANDIDATE_CONTAINERS)).select("page_id", "selector", "pre", "post")
-    return D.suspects(dom, boxes).select("page_id", "container", "selector", "pre", "tag")
+    return _suspects(_dom(spark, d)).select("page_id", "container", "selector", "pre", "tag")
 
 
 @query
 def common_class_token(spark, d):
-    return D.common_class_token(D.matches(_dom(spark), C.SUSPECTS), "page_id", "selector").select("page_id", "selector", "n", "token", "stable")
+    return D.common_class_token(D.matches(_dom(spark, d), C.SUSPECTS), "page_id", "selector").select("page_id", "selector", "n", "token", "stable")
 
 
 @query
 def exclude_selectors(spark, d):
-    return D.exclude_selectors(D.matches(_dom(spark), C.SUSPECTS), "page_id", "selector").select("page_id", "selector", "exclude")
+    return D.exclude_selectors(_suspects(_dom(spark, d)), "page_id", "container", "selector").select("page_id", "container", "selector", "exclude")
 
 
 @query
@@ -422,21 +508,43 @@ def pick_container(spark, d):
     return D.pick_container(X.frame(spark, X.RANKED, "page_id int, selector string, place int, total_len int, n_suspects int"))
 
 
-def _pages(spark):
-    return X.frame(spark, X.PAGES, "page_id bigint, url string, html string")
+@query
+def inspect_report(spark, d):
+    own = made_pages(_docs(spark, d), table(spark, d, "site_overrides"))
+    report = D.inspect(cut(D.nodes(own)), own)
+    return report.withColumn("exclude_selectors", F.array_join("exclude_selectors", " "))
 
 
 @query
 def page_links(spark, d):
-    return D.links(_pages(spark))
+    return D.links(made_pages(_docs(spark, d), table(spark, d, "site_overrides")))
+
+
+@query
+def page_paragraphs(spark, d):
+    """What each path of the cascade reads from a page, as counts and digests."""
+    got = extract.extracted(made_pages(_docs(spark, d), table(spark, d, "site_overrides")))
+    digest = lambda c: F.sha1(F.encode(F.array_join(c, "\n"), "UTF-8"))
+    return got.select("page_id", "n_paras", "page_chars", F.size("override").alias("n_override"), digest("override").alias("override"), F.size("fallback").alias("n_fallback"), digest("fallback").alias("fallback"))
+
+
+@query
+def page_articles(spark, d):
+    """The whole cascade: the site's selector, the densest element, known containers."""
+    got = extract.cascade(made_pages(_docs(spark, d), table(spark, d, "site_overrides")))
+    return got.select("page_id", "how", F.length("article").alias("n_chars"), T.content_hash(F.col("article")).alias("content_hash"))
 
 
 @query
-def page_override_text(spark, d):
-    ps = D.override_paragraphs(D.nodes(_pages(spark)), "article", ["[class*='share']"])
-    return P.article(ps, "ps", "article", accept=100).select("page_id", "article")
+def scraped_corpus(spark, d):
+    """From pages to filed articles: extraction, a second try of failed pages, content duplicates, language, both variants."""
+    own = made_pages(_docs(spark, d), table(spark, d, "site_overrides"))
+    run = pipeline.scrape(own, _languages(spark, d), table(spark, d, "judge_votes"))
+    return run.files.select("page_id", "lang_folder", "variant", "filename", F.sha1(F.encode("text", "UTF-8")).alias("digest"))
 
 
 @query
-def page_fallback_text(spark, d):
-    return P.article(D.fallback_paragraphs(D.nodes(_pages(spark))), "ps", "article", filter_first=True, min_chars=40, accept=0).select("page_id", "article")
+def scrape_counters(spark, d):
+    own = made_pages(_docs(spark, d), table(spark, d, "site_overrides"))
+    run = pipeline.scrape(own, _languages(spark, d), table(spark, d, "judge_votes"))
+    return run.status.groupBy("status").agg(F.count("*").alias("n"))

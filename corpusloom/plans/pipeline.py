@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import judges
 from ..functions import text as T
 from ..functions import urls as U
-from ..operators import ordering, paragraphs, votes
+from ..operators import extract, ordering, paragraphs, votes
 from ..session import cut
 
 
@@ -36,6 +39,47 @@ def corpus(documents: DataFrame, languages: DataFrame, vote_rows: DataFrame, see
     return routed.select("doc_id", U.safe_filename(U.normalize_url(F.col("url"))).alias("filename"), "lang_folder", "n_chars")
 
 
+class Run(NamedTuple):
+    """What a run leaves: ``files`` (page_id, url, lang_folder, variant, filename, text) for the article sink, ``status``
+    (page_id, url, status: saved, duplicate, failed; tries) and ``manifest`` (url, content_hash), where duplicates stand too."""
+
+    files: DataFrame
+    status: DataFrame
+    manifest: DataFrame
+
+
+def scrape(pages: DataFrame, languages: DataFrame, vote_rows: DataFrame, seen: DataFrame | None = None, again: DataFrame | None = None, general: extract.Extractor | None = None, lemmas=None) -> Run:
+    """Pages to filed articles. ``pages`` is as ``extract.extracted`` takes it.
+
+    Pages that give no article are read a second time from ``again`` (the same columns) where it has them; what fails
+    twice is ``failed``. The first of equal contents is saved (least page_id), later ones and those of ``seen`` are
+    duplicates: not filed, but entered in the manifest. ``lemmas`` (loader by language, see ``judges.lemmatize``) adds
+    a second file of each article; False leaves it out.
+    """
+    first = cut(extract.cascade(pages, general).withColumn("tries", F.lit(1)))
+    good, failed = first.where("article is not null"), first.where("article is null")
+    if again is not None:
+        second = cut(extract.cascade(again.join(failed.select("page_id"), "page_id", "left_semi"), general).withColumn("tries", F.lit(2)))
+        good = good.unionByName(second.where("article is not null"))
+        left = failed.join(second.where("article is not null").select("page_id"), "page_id", "left_anti")
+        failed = left.withColumn("tries", F.lit(2))
+    good = cut(good.withColumn("content_hash", T.content_hash(F.col("article"))))
+    heads = good.select("page_id", "content_hash").groupBy("content_hash").agg(F.min("page_id").alias("page_id"))
+    if seen is not None:
+        heads = ordering.not_in(heads, seen, "content_hash")
+    heads = cut(heads)
+    saved = good.join(heads.select("page_id"), "page_id", "left_semi").dropDuplicates(["page_id"])
+    marked = good.select("page_id", "url", "tries", "content_hash").join(heads.select("page_id", F.lit("saved").alias("_saved")), "page_id", "left")
+    status = marked.select("page_id", "url", F.coalesce("_saved", F.lit("duplicate")).alias("status"), "tries").unionByName(failed.select("page_id", "url", F.lit("failed").alias("status"), "tries"))
+    routed = votes.route(saved.select("page_id", "url", F.col("article").alias("text")), languages, vote_rows).drop("how")
+    norm = U.normalize_url(F.col("url"))
+    files = routed.withColumn("variant", F.lit("raw")).withColumn("filename", U.safe_filename(norm))
+    if lemmas is not False:
+        lemmatized = judges.lemmatize(routed, *([lemmas] if lemmas else [])).withColumn("text", F.col("lemmas")).drop("lemmas")
+        files = files.unionByName(lemmatized.withColumn("variant", F.lit("lemmatized")).withColumn("filename", U.safe_filename(norm, "lemma")))
+    return Run(files, status, good.select(norm.alias("url"), "content_hash"))
+
+
 def auto(listing: DataFrame, manifest: DataFrame, prefixes: DataFrame) -> DataFrame:
     """seq, url: article links of listing pages (url, seq, base), normalised, first ones kept, none of the manifest.
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from ..functions import constants as C
 from . import fixtures as X
+from . import pages
 
 #: What counts as white space, for RE2.
 SPACE = r"[\s\p{Z}\x0b\x1c-\x1f\x85]"
@@ -88,10 +91,17 @@ END = f"lower({strip('p')}) = 'så arbetar vi'"
 ENDS = "[" + ", ".join(q(c) for c in C.SENTENCE_ENDS) + "]"
 KEEPER = f"({strip('p')} = '' OR length({strip('p')}) > 60 OR list_contains({ENDS}, right({strip('p')}, 1)))"
 MORE = rf"(?i){SPACE}*(?:{'|'.join(C.READ_MORE)}){SPACE}*$"
-DEDUPE = f"""
-k AS (SELECT doc_id, i, p, {strip('p')} AS b, lag({strip('p')}) OVER w AS a, {strip(f"regexp_replace(lag({strip('p')}) OVER w, '{MORE}', '')")} AS short FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-t AS (SELECT *, CASE WHEN a IS NULL THEN 1 WHEN a = b THEN 0 WHEN short <> '' AND short = b THEN 2 ELSE 1 END AS kind FROM k),
-r AS (SELECT *, lead(kind) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM t WHERE kind <> 0)"""
+
+
+def deduped(x: str = "") -> str:
+    """CTEs over ``{x}p`` (doc_id, i, p): the paragraphs that stay are those of ``{x}r`` that no teaser's full text follows."""
+    return f"""
+{x}k AS (SELECT doc_id, i, p, {strip('p')} AS b, lag({strip('p')}) OVER w AS a, {strip(f"regexp_replace(lag({strip('p')}) OVER w, '{MORE}', '')")} AS short FROM {x}p WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+{x}t AS (SELECT *, CASE WHEN a IS NULL THEN 1 WHEN a = b THEN 0 WHEN short <> '' AND short = b THEN 2 ELSE 1 END AS kind FROM {x}k),
+{x}r AS (SELECT *, lead(kind) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM {x}t WHERE kind <> 0)"""
+
+
+DEDUPE = deduped()
 
 FREE = [x for x in C.PATTERNS if not x.startswith("^")]
 ANCHORED = [x for x in C.PATTERNS if x.startswith("^")]
@@ -103,14 +113,19 @@ def flagged(c: str) -> str:
     return f"(list_contains({listed([x.lower() for x in C.LITERALS])}, lower({c})) OR regexp_matches({c}, {q('(?i)(?:' + '|'.join(ANCHORED + FREE) + ')')}) OR ({together}))"
 
 
+def cleaned(lines: str, x: str = "", filter_last: bool = True) -> str:
+    """CTE ``{x}n4`` (doc_id, article): the cleaning of one extraction path over ``lines`` (doc_id, i, p stripped)."""
+    return f"""
+{x}n2 AS (SELECT *, min(i) FILTER (WHERE {END}) OVER (PARTITION BY doc_id) AS e FROM {lines}),
+{x}n3 AS (SELECT *, min(i) OVER v AS a, coalesce(max(i) FILTER (WHERE {KEEPER}) OVER v, 0) AS z FROM {x}n2 WHERE e IS NULL OR i < e WINDOW v AS (PARTITION BY doc_id)),
+{x}p AS (SELECT doc_id, i, p FROM {x}n3 WHERE e IS NULL OR i <= greatest(a, z)), {deduped(x)},
+{x}n4 AS (SELECT doc_id, string_agg(p, chr(10) || chr(10) ORDER BY i) AS article FROM {x}r WHERE coalesce(next, 1) = 1 {'AND NOT ' + flagged('p') if filter_last else ''} GROUP BY doc_id)"""
+
+
 #: ``made``: the article of each document (null where at most 200 characters are left) and its hash.
 CLEANED = f"""
 n0 AS (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS p FROM documents WHERE text IS NOT NULL),
-n1 AS (SELECT doc_id, i, {strip('p')} AS p FROM n0 WHERE length({strip('p')}) >= 20),
-n2 AS (SELECT *, min(i) FILTER (WHERE {END}) OVER (PARTITION BY doc_id) AS e FROM n1),
-n3 AS (SELECT *, min(i) OVER v AS a, coalesce(max(i) FILTER (WHERE {KEEPER}) OVER v, 0) AS z FROM n2 WHERE e IS NULL OR i < e WINDOW v AS (PARTITION BY doc_id)),
-p AS (SELECT doc_id, i, p FROM n3 WHERE e IS NULL OR i <= greatest(a, z)), {DEDUPE},
-n4 AS (SELECT doc_id, string_agg(p, chr(10) || chr(10) ORDER BY i) AS article FROM r WHERE coalesce(next, 1) = 1 AND NOT {flagged('p')} GROUP BY doc_id),
+n1 AS (SELECT doc_id, i, {strip('p')} AS p FROM n0 WHERE length({strip('p')}) >= 20), {cleaned('n1')},
 made AS (SELECT d.doc_id, d.url, source, CASE WHEN length(article) > 200 THEN article END AS article, CASE WHEN length(article) > 200 THEN {content_hash('article')} END AS content_hash FROM documents d LEFT JOIN n4 ON n4.doc_id = d.doc_id),
 firsts AS (SELECT * FROM made WHERE article IS NOT NULL QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) = 1)"""
 
@@ -182,7 +197,168 @@ GENERAL = rf"""n >= 2 AND length(prefix) + length(suffix) < shortest AND length(
   AND regexp_matches({strip('prefix')}, '[\p{{L}}\p{{N}}]') AND regexp_matches({strip('suffix')}, '[\p{{L}}\p{{N}}]')"""
 PATTERN = f"CASE WHEN {GENERAL} THEN '^' || {ESCAPED(strip('prefix'))} || '.+' || {ESCAPED(strip('suffix'))} || '$' END"
 
-NODES = "n AS (SELECT * FROM " + X.relation(X.NODES, "page_id, pre, post, parent, tag, class, text") + ")"
+
+
+def suggested(keys: str, source: str) -> str:
+    """CTE ``z``: keys, pattern (null where the group has none), generalized."""
+    first, *rest = keys.split(", ")
+    equal = " AND ".join(f"f.{k} IS NOT DISTINCT FROM k.{k}" for k in (first, *rest))
+    return f"""{ends(keys, source)},
+k AS (SELECT {keys}, {PATTERN} AS pattern FROM e),
+z0 AS (SELECT {', '.join('f.' + k for k in (first, *rest))}, k.pattern AS general, bool_and(coalesce(regexp_matches(f.f, '(?i)' || k.pattern), false)) AS ok, min(lower(f.f)) AS flo, max(lower(f.f)) AS fhi, arg_min(f.f, candidate_id) AS f1 FROM f JOIN k ON {equal} GROUP BY ALL),
+z AS (SELECT {keys}, CASE WHEN general IS NOT NULL THEN CASE WHEN ok THEN general END WHEN flo = fhi THEN '^' || {ESCAPED('f1')} || '$' END AS pattern, general IS NOT NULL AND ok AS generalized FROM z0)"""
+
+
+PROPOSED = f"""WITH {suggested('domain, reason', f'(SELECT * FROM boilerplate_candidates WHERE {PENDING})')},
+pp AS (SELECT candidate_id, f.domain, f.reason, f.url, coalesce(z.pattern, '^' || {ESCAPED('f.f')} || '$') AS pattern, coalesce(z.pattern IS NOT NULL AND generalized, false) AS generalized
+  FROM f LEFT JOIN z ON f.domain IS NOT DISTINCT FROM z.domain AND f.reason IS NOT DISTINCT FROM z.reason)"""
+
+FENCED = r"regexp_replace(trim(raw), '\A```(?:json)?\s*|\s*```\z', '', 'g')"
+PARSED = f"""
+WITH b AS (SELECT batch_id, n, {FENCED} AS v FROM {X.relation(X.REPLIES, 'batch_id, n, raw')}),
+a AS (SELECT batch_id, n, CAST(v AS JSON) AS j FROM b WHERE json_valid(v) AND json_type(v) = 'ARRAY'),
+i AS (SELECT batch_id, n, unnest(json_extract(j, '$[*]')) AS x, unnest(range(CAST(json_array_length(j) AS BIGINT))) AS item FROM a),
+g AS (SELECT batch_id, n, item, json_extract(x, '$.candidates') AS c,
+  CASE WHEN json_type(x, '$.id') IN ('UBIGINT', 'BIGINT') THEN CAST(x->>'$.id' AS BIGINT) WHEN json_type(x, '$.id') = 'BOOLEAN' THEN CAST(x->>'$.id' = 'true' AS BIGINT) END AS slot FROM i),
+l AS (SELECT * FROM g WHERE slot >= 0 AND slot < n AND json_type(c) = 'ARRAY' QUALIFY row_number() OVER (PARTITION BY batch_id, slot ORDER BY item DESC) = 1),
+u AS (SELECT batch_id, slot, unnest(json_extract(c, '$[*]')) AS y, unnest(range(CAST(json_array_length(c) AS BIGINT))) AS pos FROM l)
+SELECT batch_id, slot, CAST(pos AS INTEGER) AS pos, trim(y->>'$.fragment') AS fragment, coalesce(trim(y->>'$.reason'), '') AS reason FROM u WHERE trim(y->>'$.fragment') <> ''
+"""
+CODED = f"""
+WITH b AS (SELECT id, {FENCED} AS v FROM {X.relation(X.CODES, 'id, raw')}),
+c AS (SELECT id, CASE WHEN json_valid(v) THEN lower(trim(v->>'$.language_code')) END AS code, CASE WHEN json_valid(v) THEN TRY_CAST(v->>'$.confidence' AS DOUBLE) END AS sure FROM b)
+SELECT id, CASE WHEN regexp_matches(code, '^[a-z]{{2}}$') THEN code END AS reply_code,
+  CASE WHEN regexp_matches(code, '^[a-z]{{2}}$') THEN CASE WHEN sure >= 0 AND sure <= 1 THEN sure ELSE {C.REPLY_CONFIDENCE} END END AS reply_confidence FROM c
+"""
+FIRST_LINES = f"""
+WITH q AS ({SUSPICIOUS}), k AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM q WHERE suspicious),
+fl AS (SELECT k.doc_id, url, n, trim(string_split(coalesce(text, ''), chr(10))[1], ' ' || chr(13)) AS fragment FROM k JOIN documents d ON d.doc_id = k.doc_id),
+fr AS (SELECT * FROM fl WHERE length(fragment) BETWEEN 1 AND 60)"""
+
+
+# Pages made from documents: the elements that a parser finds in them, numbered as it would
+def element(pre: str, post: str, tag: str, cls: str = "NULL", item: str = "NULL", text: str = "''") -> str:
+    return f"{{'pre': {pre}, 'post': {post}, 'tag': {tag}, 'class': {cls}, 'itemprop': {item}, 'text': {text}}}"
+
+
+ITEM = q("[itemprop='articleBody']")
+FIXED = [
+    element("0", "s0 + 20 + w", "'html'"),
+    element("1", "s0 + 19 + w", "'body'"),
+    element("2", "7", "'nav'", "'menu'"),
+    element("3", "4", "'a'"),
+    element("5", "6", "'a'"),
+    element("8", "s0 + 14 + w", "'main'", "'page'"),
+    element("CASE WHEN w = 1 THEN 9 ELSE -1 END", "s0 + 12", f"CASE WHEN sel = 'article' THEN 'article' WHEN sel IN ('.article-body', {ITEM}) THEN 'div' ELSE 'section' END", "CASE WHEN sel = '.article-body' THEN 'article-body' END", f"CASE WHEN sel = {ITEM} THEN 'articleBody' END"),
+    element("9 + w", "10 + w", "'h1'", text=q(pages.TITLE)),
+    *(element(f"s0 + {4 * b}", f"s0 + {4 * b + 3}", "'div'", q(c), text=q(t)) for b, (c, t) in enumerate(pages.BLOCKS)),
+    *(element(f"s0 + {4 * b + 1}", f"s0 + {4 * b + 2}", "'p'", text=q(t)) for b, (c, t) in enumerate(pages.BLOCKS)),
+    element("s0 + 12 + w", "s0 + 13 + w", "'a'"),
+    element("s0 + 15 + w", "s0 + 18 + w", "'footer'"),
+    element("s0 + 16 + w", "s0 + 17 + w", "'p'", text=q(pages.FOOTER)),
+]
+MADE = f"""
+pl0 AS (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS p FROM documents WHERE text IS NOT NULL),
+pl AS (SELECT doc_id, {collapse(strip('p'))} AS p, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM pl0 WHERE {strip('p')} <> ''),
+pg AS (SELECT doc_id AS page_id, url, article_selector AS sel, exclude_selectors AS excl, CASE WHEN article_selector = 'main' THEN 0 ELSE 1 END AS w, coalesce(n, 0) AS n,
+  11 + CASE WHEN article_selector = 'main' THEN 0 ELSE 1 END + 2 * coalesce(n, 0) AS s0
+  FROM documents d LEFT JOIN site_overrides s ON s.domain = d.source LEFT JOIN (SELECT doc_id AS id, count(*) AS n FROM pl GROUP BY doc_id) ON id = d.doc_id WHERE text IS NOT NULL)"""
+
+
+def dom(with_literals: bool = True) -> str:
+    """CTE ``dom``: page_id, pre, post, tag, class, itemprop, text."""
+    literals = f"UNION ALL SELECT -page_id, pre, post, tag, class, NULL, text FROM {X.relation(X.NODES, 'page_id, pre, post, parent, tag, class, text')}" if with_literals else ""
+    return f"""{MADE},
+fx AS (SELECT page_id, unnest([{', '.join(FIXED)}]) AS e FROM pg),
+dom AS (SELECT page_id, e.pre AS pre, e.post AS post, e.tag AS tag, e.class AS class, e.itemprop AS itemprop, e.text AS text FROM fx WHERE e.pre >= 0
+  UNION ALL SELECT page_id, 11 + w + 2 * (k - 1), 12 + w + 2 * (k - 1), 'p', NULL, NULL, p FROM pl JOIN pg ON page_id = doc_id {literals})"""
+
+
+def fits(part: str, a: str) -> str:
+    """Whether the element ``a`` matches a selector without spaces; attributes that no page here has match nothing."""
+    if re.fullmatch(r"[a-z]+", part):
+        return f"{a}.tag = {q(part)}"
+    if part.startswith("."):
+        return f"list_contains(string_split_regex(coalesce({a}.class, ''), '\\s+'), {q(part[1:])})"
+    if m := re.fullmatch(r"\[(class|itemprop)(\*?=)'([^']*)'\]", part):
+        value = f"coalesce({a}.{m[1]}, '')"
+        return f"contains({value}, {q(m[3])})" if m[2] == "*=" else f"{value} = {q(m[3])}"
+    return "false"
+
+
+INSIDE = "o.page_id = i.page_id AND o.pre < i.pre AND o.post > i.post"
+
+
+def matched(selectors: list[str]) -> str:
+    out = []
+    for place, s in enumerate(selectors):
+        *outer, last = s.split(" ")
+        held = "".join(f" AND EXISTS (SELECT 1 FROM dom o WHERE {INSIDE} AND {fits(x, 'o')})" for x in outer)
+        out.append(f"SELECT i.*, {q(s)} AS selector, {place} AS place FROM dom i WHERE {fits(last, 'i')}{held}")
+    return " UNION ALL ".join(out)
+
+
+BOXES = f"bx AS (SELECT * FROM ({matched(C.CANDIDATE_CONTAINERS)}) QUALIFY row_number() OVER (PARTITION BY page_id, selector ORDER BY pre) = 1)"
+RANKS = f"rk AS (SELECT o.page_id, o.selector, o.place, count(i.pre) AS n_paras, CAST(coalesce(sum(length(i.text)), 0) AS BIGINT) AS total_len FROM bx o LEFT JOIN dom i ON {INSIDE} AND i.tag = 'p' AND length(i.text) >= 20 GROUP BY ALL)"
+HELD = f"""sm AS ({matched(C.SUSPECTS)}),
+s1 AS (SELECT i.*, o.selector AS container FROM sm i JOIN bx o ON {INSIDE}),
+su AS (SELECT * FROM s1 i WHERE NOT EXISTS (SELECT 1 FROM s1 o WHERE {INSIDE} AND o.container = i.container AND o.selector = i.selector))"""
+GENERATED = r"(regexp_matches(token, '^(?i:(?:sc|css|emotion|jsx|styled)[-_][a-z0-9]{5,})$') OR (length(token) >= 6 AND regexp_matches(replace(token, '-', ''), '^[\p{L}\p{N}]+$') AND length(regexp_replace(lower(token), '[^aeiou]', '', 'g')) <= 1))"
+
+
+def tokens(source: str, keys: str) -> str:
+    """CTE ``ct``: keys, n, token, stable."""
+    on = " AND ".join(f"y.{k} = x.{k}" for k in keys.split(", "))
+    return f"""c0 AS (SELECT {keys}, count(*) AS n, count(*) FILTER (WHERE coalesce(class, '') <> '') AS classed FROM {source} GROUP BY ALL),
+c1 AS (SELECT {keys}, unnest(list_distinct(string_split_regex(coalesce(class, ''), '\\s+'))) AS token FROM {source}),
+c2 AS (SELECT {keys}, token, count(*) AS m FROM c1 WHERE token <> '' GROUP BY ALL),
+c3 AS (SELECT y.*, length(token) >= {C.MIN_TOKEN} AND NOT {GENERATED} AS stable FROM c2 y JOIN c0 x ON {on} WHERE m = classed AND n >= 2 QUALIFY row_number() OVER (PARTITION BY {', '.join('y.' + k for k in keys.split(', '))} ORDER BY stable DESC, length(token) DESC, token) = 1),
+ct AS (SELECT x.*, token, stable FROM c0 x LEFT JOIN c3 y ON {on})"""
+
+
+EXCLUDES = f"""{tokens('su', 'page_id, container, selector')},
+tg AS (SELECT page_id, container, selector, min(tag) AS t1, max(tag) AS t2, min(place) AS place FROM su GROUP BY ALL),
+ex AS (SELECT page_id, container, selector, place, CASE WHEN t1 = t2 AND t1 IN ('footer', 'nav', 'aside') THEN t1 WHEN token IS NOT NULL THEN concat('[class*=', chr(39), token, chr(39), ']') ELSE selector END AS exclude,
+  NOT (t1 = t2 AND t1 IN ('footer', 'nav', 'aside')) AND NOT coalesce(stable, false) AS chk FROM tg JOIN ct USING (page_id, container, selector))"""
+INSPECT = f"""
+WITH {dom(False)}, {BOXES}, {RANKS}, {HELD}, {EXCLUDES},
+sn AS (SELECT page_id, container AS selector, count(DISTINCT selector) AS n_suspects FROM su GROUP BY page_id, container),
+r1 AS (SELECT rk.*, coalesce(n_suspects, 0) AS n_suspects, count(*) OVER (PARTITION BY page_id) AS n_containers, row_number() OVER (PARTITION BY page_id ORDER BY total_len DESC, place) AS rn FROM rk LEFT JOIN sn USING (page_id, selector)),
+al AS (SELECT r.page_id, r.selector FROM r1 r JOIN r1 t ON t.page_id = r.page_id AND t.rn = 1 WHERE r.rn > 1 AND r.n_suspects = 0 AND r.total_len >= {C.CLEAN_RATIO} * t.total_len QUALIFY row_number() OVER (PARTITION BY r.page_id ORDER BY r.total_len DESC, r.place) = 1),
+pk AS (SELECT t.page_id, t.n_containers, CASE WHEN n_suspects = 0 OR al.selector IS NULL THEN t.selector ELSE al.selector END AS selector, n_suspects > 0 AND al.selector IS NULL AS excludes FROM r1 t LEFT JOIN al USING (page_id) WHERE rn = 1),
+e1 AS (SELECT page_id, container, exclude, min(place) AS place FROM ex GROUP BY ALL),
+e2 AS (SELECT page_id, container, string_agg(exclude, ' ' ORDER BY place) AS list FROM e1 GROUP BY ALL),
+e3 AS (SELECT page_id, container, sum(CAST(chk AS INTEGER)) AS n_checks FROM ex GROUP BY ALL),
+ch AS (SELECT page_id, sum(length(text)) AS page_chars FROM dom WHERE tag = 'p' GROUP BY ALL)
+SELECT d.doc_id AS page_id, {DOMAIN.replace('url', 'd.url')} AS domain, pk.selector AS article_selector, CASE WHEN excludes THEN coalesce(list, '') ELSE '' END AS exclude_selectors, CAST(coalesce(n_containers, 0) AS BIGINT) AS n_containers,
+  CAST(CASE WHEN excludes THEN coalesce(n_checks, 0) ELSE 0 END AS BIGINT) AS n_checks, CAST(coalesce(page_chars, 0) AS BIGINT) AS page_chars, CASE WHEN pk.selector IS NOT NULL THEN 'ok' WHEN coalesce(page_chars, 0) < 500 THEN 'no_text' ELSE 'no_container' END AS diagnosis
+FROM documents d LEFT JOIN pk ON pk.page_id = d.doc_id LEFT JOIN e2 ON e2.page_id = d.doc_id AND e2.container = pk.selector LEFT JOIN e3 ON e3.page_id = d.doc_id AND e3.container = pk.selector LEFT JOIN ch ON ch.page_id = d.doc_id
+"""
+# Paragraphs of each path; blocks go where the site excludes them, and stand behind the lines
+PATHS = f"""{MADE},
+bl AS (SELECT page_id, unnest([{', '.join(f"{{'i': 1000000000 + {b}, 'p': {q(t)}, 'gone': list_contains(excl, {q(e)})}}" for b, ((_, t), e) in enumerate(zip(pages.BLOCKS, ["[class*='share']", '.advert', "[class*='tag']"])))}]) AS b FROM pg),
+al AS (SELECT doc_id, k AS i, p, false AS gone FROM pl UNION ALL SELECT page_id, b.i, b.p, coalesce(b.gone, false) FROM bl)"""
+ARTICLES = f"""{PATHS},
+ov AS (SELECT al.doc_id, i, p FROM al JOIN pg ON page_id = al.doc_id WHERE sel IS NOT NULL AND NOT gone AND length(p) >= 20), {cleaned('ov', 'v')},
+oa AS (SELECT * FROM vn4 WHERE length(article) > 200),
+g0 AS (SELECT doc_id, i, p FROM al WHERE i < 1000000000 AND length(p) >= 20 AND doc_id NOT IN (SELECT doc_id FROM oa)),
+g1 AS (SELECT * FROM g0 WHERE doc_id IN (SELECT doc_id FROM g0 GROUP BY doc_id HAVING sum(length(p)) + 2 * (count(*) - 1) > 200)), {cleaned('g1', 'g')},
+ga AS (SELECT * FROM gn4 WHERE article <> ''),
+f0 AS (SELECT doc_id, i, p FROM al WHERE length(p) >= 40 AND NOT {flagged('p')} AND doc_id NOT IN (SELECT doc_id FROM oa) AND doc_id NOT IN (SELECT doc_id FROM ga)), {cleaned('f0', 'f', False)},
+art AS (SELECT d.doc_id AS page_id, d.url, CASE WHEN oa.article IS NOT NULL THEN 'override' WHEN ga.article IS NOT NULL THEN 'general' WHEN fn4.article <> '' THEN 'fallback' END AS how,
+  {strip("coalesce(oa.article, ga.article, fn4.article)")} AS article FROM documents d LEFT JOIN oa ON oa.doc_id = d.doc_id LEFT JOIN ga ON ga.doc_id = d.doc_id LEFT JOIN fn4 ON fn4.doc_id = d.doc_id)"""
+DIGEST_OF = "sha1(coalesce(string_agg(p, chr(10) ORDER BY i) FILTER (WHERE {}), ''))"
+FILED = f"""
+WITH {ARTICLES}, sv AS (SELECT *, {content_hash('article')} AS h FROM art WHERE article IS NOT NULL QUALIFY row_number() OVER (PARTITION BY h ORDER BY page_id) = 1),
+{VALID}, {PANEL}, {resolved('pv', 'j')}, {LANGUAGES},
+e AS (SELECT page_id, max(locked) AS locked, max_by(code, length(prefix)) AS code FROM sv LEFT JOIN l ON l.domain = {DOMAIN.replace('url', 'sv.url')} AND starts_with({PATH.replace('url', 'sv.url')}, prefix) GROUP BY page_id),
+nu AS (SELECT page_id, {NORM} AS url FROM sv),
+fi AS (SELECT sv.page_id, {FILE.replace('url', 'nu.url')} AS filename, article, CASE WHEN locked AND code IS NOT NULL THEN code WHEN winner_code IS NULL THEN 'unknown' WHEN disputed THEN 'disputed' ELSE winner_code END AS lang_folder
+  FROM sv JOIN e ON e.page_id = sv.page_id JOIN nu ON nu.page_id = sv.page_id LEFT JOIN jr ON jr.url = sv.url)
+SELECT page_id, lang_folder, 'raw' AS variant, filename, sha1(article) AS digest FROM fi
+UNION ALL SELECT page_id, lang_folder, 'lemmatized', regexp_replace(filename, '\\.txt$', '__lemma.txt'), sha1({collapse(strip('article'))}) FROM fi
+"""
+SHARES = "[class*='share']"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -216,6 +392,16 @@ def oracle_sql() -> dict[str, str]:
         "detection_sample": f"WITH s AS (SELECT doc_id, CASE WHEN length(text) > {C.HEAD_CHARS + C.TAIL_CHARS} THEN substr(text, 1, {C.HEAD_CHARS}) || {X.literal(C.OMITTED)} || right(text, {C.TAIL_CHARS}) ELSE text END AS t FROM documents) SELECT doc_id, CAST(length(t) AS INTEGER) AS n_chars, sha1(t) AS digest FROM s",
         "llm_batches": f"WITH q AS ({SUSPICIOUS}), k AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM q WHERE suspicious) SELECT doc_id, n // {C.BATCH} AS batch_id, CAST(n % {C.BATCH} AS INTEGER) AS slot FROM k",
         "batch_payloads": f"WITH q AS ({SUSPICIOUS}), k AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM q WHERE suspicious) SELECT n // {C.BATCH} AS batch_id, count(*) AS n, least(8000, 200 + 300 * count(*)) AS max_tokens FROM k GROUP BY 1",
+        "batch_replies": f"{FIRST_LINES} SELECT n // {C.BATCH} AS batch_id, CAST(n % {C.BATCH} AS INTEGER) AS slot, 0 AS pos, fragment, 'short first line' AS reason FROM fr",
+        "batch_candidates": f"{FIRST_LINES}, kk AS (SELECT *, {RAW} AS domain, lower({strip('fragment')}) AS key FROM fr), seen AS (SELECT coalesce(domain, '') AS dom, lower({strip('fragment')}) AS key FROM boilerplate_candidates WHERE fragment IS NOT NULL) SELECT doc_id, url, domain, fragment, 'short first line' AS reason FROM kk WHERE (domain, key) NOT IN (SELECT (dom, key) FROM seen) QUALIFY row_number() OVER (PARTITION BY domain, key ORDER BY n) = 1",
+        "parse_batch_response": PARSED,
+        "parse_language_response": CODED,
+        "llm_tiebreak": f"WITH {VALID}, {PANEL}, {resolved('pv', 'a')}, z AS (SELECT url, seq, judge, code, confidence, weight FROM pv UNION ALL SELECT d.url, 1000000, 'gemini', CASE WHEN contains(substr(text, 1, 2000), ' the ') THEN 'en' ELSE 'is' END, CASE WHEN contains(substr(text, 1, 2000), ' the ') THEN 0.8 ELSE {C.REPLY_CONFIDENCE} END, 0.9 FROM documents d JOIN ar ON ar.url = d.url AND ar.disputed WHERE {strip('text')} <> ''), {resolved('z')} SELECT url, winner_code, round(winner_share, 6) AS winner_share, n_votes, disputed FROM r",
+        "judge_panel": f"""WITH t AS (SELECT url, source, substr(coalesce(text, ''), 1, 2000) AS t FROM documents),
+v AS (SELECT url, 0 AS seq, 'glotlid' AS judge, 'is' AS code, CAST(0.9 AS DOUBLE) AS confidence FROM t WHERE contains(t, 'ð')
+UNION ALL SELECT url, 1, 'openlid', 'is', 0.8 FROM t WHERE contains(lower(t), 'þ')
+UNION ALL SELECT url, 2, 'lingua', 'en', 0.6 FROM t WHERE contains(replace(t, chr(10), ' '), ' the '))
+SELECT * FROM v UNION ALL SELECT url, 4, 'site_hint', code, {C.SITE_HINT_CONFIDENCE} FROM t JOIN site_overrides s ON s.domain = t.source WHERE url IN (SELECT url FROM v) AND code IS NOT NULL""",
         "iso_normalize": "WITH m(a, b) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in C.ISO3.items()) + "), k AS (SELECT id, lower(string_split(replace(label, '__label__', ''), '_')[1]) AS c FROM " + X.relation(X.LABELS, "id, label") + ") SELECT id, coalesce(b, c) AS code FROM k LEFT JOIN m ON a = c",
         "openlid_preprocess": rf"SELECT doc_id, sha1(regexp_replace(regexp_replace(lower(replace({strip('text')}, chr(10), ' ')), '[^\p{{L}}\p{{M}}\p{{Nl}}\p{{Pc}}\x{{200c}}\x{{200d}}\s\p{{Z}}\x0b\x85]|\p{{Nd}}', '', 'g'), '[\s\p{{Z}}\x0b\x85]{{2,}}', ' ', 'g')) AS digest FROM documents WHERE text IS NOT NULL",
         "resolve_votes": f"WITH {VALID}, {resolved('v')} SELECT url, winner_code, round(winner_share, 6) AS winner_share, n_votes, disputed FROM r",
@@ -231,8 +417,21 @@ def oracle_sql() -> dict[str, str]:
         "lcp_lcs": f"WITH {ends('domain, reason', 'boilerplate_candidates')} SELECT domain, reason, n, prefix, suffix FROM e",
         "generalize_group": f"WITH {ends('domain, head', HEADED)} SELECT domain, head, n, {PATTERN} AS pattern FROM e",
         "literal_patterns": f"WITH f AS (SELECT DISTINCT domain, reason, {STRIPPED} AS fragment FROM boilerplate_candidates WHERE fragment IS NOT NULL) SELECT domain, reason, fragment, '^' || {ESCAPED('fragment')} || '$' AS pattern FROM f WHERE fragment <> ''",
+        "suggested_patterns": f"WITH {suggested('domain, head', HEADED)} SELECT domain, head, pattern, generalized FROM z WHERE pattern IS NOT NULL",
+        "review_proposals": f"{PROPOSED} SELECT candidate_id, pattern, generalized FROM pp",
+        "review_flags": f"{PROPOSED} SELECT c.candidate_id, CASE WHEN pattern IS NOT NULL THEN true ELSE reviewed END AS reviewed, discarded, CASE WHEN length(pattern) % 2 = 0 THEN true ELSE promoted END AS promoted FROM boilerplate_candidates c LEFT JOIN pp ON pp.candidate_id = c.candidate_id",
+        "review_patterns": f"{PROPOSED} SELECT domain, reason, pattern, generalized, count(*) AS n, min(url) FILTER (WHERE url <> '') AS example FROM pp WHERE length(pattern) % 2 = 0 GROUP BY domain, reason, pattern, generalized",
         "hash_like": r"SELECT id, regexp_matches(token, '^(?i:(?:sc|css|emotion|jsx|styled)[-_][a-z0-9]{5,})$') OR (length(token) >= 6 AND regexp_matches(replace(token, '-', ''), '^[\p{L}\p{N}]+$') AND length(regexp_replace(lower(token), '[^aeiou]', '', 'g')) <= 1) AS looks_generated FROM " + X.relation(X.TOKENS, "id, token"),
-        "dedupe_nested": f"WITH {NODES}, m AS (SELECT * FROM n WHERE contains(coalesce(class, ''), 'share')) SELECT page_id, pre, tag FROM m i WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.page_id = i.page_id AND o.pre < i.pre AND o.post > i.post)",
-        "container_rank": f"WITH {NODES}, b AS (SELECT page_id, tag AS selector, min(pre) AS pre, arg_min(post, pre) AS post FROM n WHERE tag IN ('article', 'main') GROUP BY page_id, tag UNION ALL SELECT i.page_id, 'main article', min(i.pre), arg_min(i.post, i.pre) FROM n i WHERE i.tag = 'article' AND EXISTS (SELECT 1 FROM n o WHERE o.tag = 'main' AND o.page_id = i.page_id AND o.pre < i.pre AND o.post > i.post) GROUP BY i.page_id) SELECT b.page_id, selector, count(*) AS n_paras, CAST(sum(length(text)) AS BIGINT) AS total_len FROM b JOIN n ON n.page_id = b.page_id AND n.pre > b.pre AND n.post < b.post AND n.tag = 'p' AND length(text) >= 20 GROUP BY b.page_id, selector",
+        "dedupe_nested": f"WITH {dom()}, m AS ({matched([SHARES])}) SELECT page_id, CAST(pre AS INTEGER) AS pre, tag FROM m i WHERE NOT EXISTS (SELECT 1 FROM m o WHERE {INSIDE})",
+        "container_rank": f"WITH {dom()}, {BOXES}, {RANKS} SELECT page_id, selector, n_paras, total_len FROM rk",
+        "container_suspects": f"WITH {dom()}, {BOXES}, {HELD} SELECT page_id, container, selector, CAST(pre AS INTEGER) AS pre, tag FROM su",
+        "common_class_token": f"WITH {dom()}, sm AS ({matched(C.SUSPECTS)}), {tokens('sm', 'page_id, selector')} SELECT page_id, selector, n, token, stable FROM ct",
+        "exclude_selectors": f"WITH {dom()}, {BOXES}, {HELD}, {EXCLUDES} SELECT page_id, container, selector, exclude FROM ex",
+        "inspect_report": INSPECT,
+        "page_links": f"WITH h AS (SELECT doc_id AS page_id, lower(regexp_extract(url, {SCHEME}, 1)) AS sch, {NETLOC} AS host, url FROM documents WHERE text IS NOT NULL), k AS (SELECT page_id, unnest([sch || '://' || host || '/news/', url || '?ref=menu', sch || '://other.example/a-b-c-d-2026']) AS url, unnest([0, 1, 2]) AS seq FROM h) SELECT page_id, CAST(seq AS INTEGER) AS seq, url FROM k",
+        "page_paragraphs": f"WITH {PATHS}, fo AS (SELECT doc_id, CAST(count(*) + 1 AS INTEGER) AS n_paras, CAST(sum(length(p)) + {len(pages.FOOTER)} AS BIGINT) AS page_chars, CAST(count(*) FILTER (WHERE NOT gone AND length(p) >= 20) AS INTEGER) AS n_override, {DIGEST_OF.format('NOT gone AND length(p) >= 20')} AS override, CAST(count(*) AS INTEGER) AS n_fallback, {DIGEST_OF.format('true')} AS fallback FROM al GROUP BY doc_id) SELECT d.doc_id AS page_id, coalesce(n_paras, 0) AS n_paras, coalesce(page_chars, 0) AS page_chars, CASE WHEN s.domain IS NOT NULL THEN coalesce(n_override, 0) END AS n_override, CASE WHEN s.domain IS NOT NULL THEN coalesce(override, sha1('')) END AS override, coalesce(n_fallback, 0) AS n_fallback, coalesce(fallback, sha1('')) AS fallback FROM documents d LEFT JOIN fo ON fo.doc_id = d.doc_id LEFT JOIN site_overrides s ON s.domain = d.source",
+        "page_articles": f"WITH {ARTICLES} SELECT page_id, how, CAST(length(article) AS INTEGER) AS n_chars, {content_hash('article')} AS content_hash FROM art",
+        "scraped_corpus": FILED,
+        "scrape_counters": f"WITH {ARTICLES}, h AS (SELECT *, {content_hash('article')} AS h FROM art), st AS (SELECT CASE WHEN article IS NULL THEN 'failed' WHEN page_id = min(page_id) OVER (PARTITION BY h) THEN 'saved' ELSE 'duplicate' END AS status FROM h) SELECT status, count(*) AS n FROM st GROUP BY status",
         "pick_container": "WITH r AS (SELECT * FROM " + X.relation(X.RANKED, "page_id, selector, place, total_len, n_suspects") + "), t AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY total_len DESC, place) AS rn FROM r), a AS (SELECT * FROM t WHERE rn = 1), b AS (SELECT t.page_id, t.selector, row_number() OVER (PARTITION BY t.page_id ORDER BY t.total_len DESC, t.place) AS rn FROM t JOIN a USING (page_id) WHERE t.rn > 1 AND t.n_suspects = 0 AND t.total_len >= 0.7 * a.total_len) SELECT a.page_id, CASE WHEN a.n_suspects = 0 OR b.selector IS NULL THEN a.selector ELSE b.selector END AS selector, a.n_suspects > 0 AND b.selector IS NULL AS excludes FROM a LEFT JOIN b ON b.page_id = a.page_id AND b.rn = 1",
     }

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,22 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """The shared folder named by spark.checkpoint.dir.
+
+    Where none is set, a local session (tests) gets a folder of its own that goes when the process ends; a cluster is
+    refused, as a folder of one machine would be lost with it. Set spark.cleaner.referenceTracking.cleanCheckpoints to
+    have Spark delete checkpoints that nothing refers to any more.
+    """
     sc = spark.sparkContext
     known = sc._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="corpusloom-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return folder
 

@@ -37,6 +37,29 @@ def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
+PATTERN_SCHEMA = "pattern string, domain string, reason string, n bigint, example string, approved_at string"
+
+
+def append_patterns(approved: DataFrame, path: str, approved_at: str) -> None:
+    """Approved patterns (of ``candidates.review``) at the end of the pattern table, with what they came from."""
+    approved.select("pattern", "domain", "reason", "n", "example", F.lit(approved_at).alias("approved_at")).write.mode("append").json(path)
+
+
+def read_patterns(spark: SparkSession, path: str) -> list[str]:
+    """The approved patterns that compile, each once, in order: people approved them one by one, so they fit the driver."""
+    import re
+
+    rows = spark.read.schema(PATTERN_SCHEMA).json(path).where("pattern is not null").groupBy("pattern").agg(F.min("approved_at").alias("at")).orderBy("at", "pattern").collect()
+    out = []
+    for r in rows:
+        try:
+            re.compile(r.pattern)
+        except re.error:
+            continue
+        out.append(r.pattern)
+    return out
+
+
 def write_articles(articles: DataFrame, path: str) -> None:
     """Articles (lang_folder, variant, filename, text) as parquet by language and variant."""
     articles.select("lang_folder", "variant", "filename", "text").write.mode("append").partitionBy("lang_folder", "variant").parquet(path)

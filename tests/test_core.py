@@ -8,10 +8,11 @@ from corpusloom.functions import text as T
 from corpusloom.functions import urls as U
 from corpusloom.operators import candidates as K
 from corpusloom.operators import dom as D
+from corpusloom.operators import extract as E
 from corpusloom.operators import paragraphs as P
 from corpusloom.operators import replies as R
 from corpusloom.operators import votes as V
-from corpusloom.plans import catalogue, sql
+from corpusloom.plans import catalogue, pipeline, sql
 from corpusloom.plans import fixtures as X
 from corpusloom.sources import manifest as M
 from corpusloom.streaming.ingest import ingest
@@ -118,9 +119,9 @@ def test_votes(spark):
 
 def test_patterns(spark):
     rows = [("a", "Additional reporting by Bob Howard for BBC"), ("a", "Additional reporting by Ann Lee for BBC"), ("b", "Additional reporting by Bob Howard."), ("b", "Additional reporting by Ann Lee."), ("c", "same text here"), ("c", "same text here"), ("d", "Read this"), ("d", "Other that"), ("e", None)]
-    df = spark.createDataFrame(rows, "g string, fragment string")
-    assert {r.g: r.pattern for r in K.generalized(df, "g").collect()} == {"a": "^Additional reporting by.+for BBC$", "b": None, "c": None, "d": None}
-    assert {r.g: (r.pattern, r.generalized) for r in K.suggestions(df, "g").collect()} == {"a": ("^Additional reporting by.+for BBC$", True), "c": ("^same text here$", False)}
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate([*rows, ("f", "Ab c"), ("f", " aB C"), (None, "alone (x)"), ("h", "Prefix one\\nthree suffix"), ("h", "Prefix two\\nfour suffix")])], "candidate_id int, g string, fragment string")
+    assert {r.g: r.pattern for r in K.generalized(df, "g").collect()} == {"a": "^Additional reporting by.+for BBC$", "b": None, "c": None, "d": None, "f": None, None: None, "h": None}
+    assert {r.g: (r.pattern, r.generalized) for r in K.suggestions(df, "g").collect()} == {"a": ("^Additional reporting by.+for BBC$", True), "c": ("^same text here$", False), "f": ("^Ab c$", False), None: ("^alone \\(x\\)$", False)}
 
 
 def test_upsert(spark):
@@ -204,11 +205,143 @@ def test_reconcile(spark):
 def test_stream(spark, tmp_path):
     body = "The council met on Tuesday to discuss the repair of the long bridge over the river. " * 4
     schema = "doc_id bigint, url string, source string, text string"
-    for name, rows in (("a", [(1, "u1", "s", body), (2, "u2", "s", body.upper()), (3, "u3", "s", "short")]), ("b", [(4, "u4", "s", body), (5, "u5", "s", body + "More.")])):
+    languages = spark.createDataFrame([("a.example", "", "is", True)], "domain string, prefix string, code string, locked boolean")
+    votes = spark.createDataFrame([], "url string, seq int, judge string, code string, confidence double")
+    for name, rows in (("a", [(1, "u1", "s", body), (2, "u2", "s", body.upper()), (3, "u3", "s", "short")]), ("b", [(4, "u4", "s", body), (5, "https://a.example/u5", "s", body + "More."), (6, None, "s", body + "Six.")])):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), schema).awaitTermination()
-    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out" / "articles")).collect()) == ["u1", "u5"]
-    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "out" / "manifest")).collect()) == ["u1", "u5"]
+        ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), schema, route=lambda df: V.route(df, languages, votes)).awaitTermination()
+    articles = spark.read.parquet(str(tmp_path / "out" / "articles")).collect()
+    assert {(r.url, r.lang_folder) for r in articles} == {("u1", "unknown"), ("https://a.example/u5", "is"), (None, "unknown")} and len(articles) == 3
+    lines = spark.read.parquet(str(tmp_path / "out" / "manifest")).collect()
+    assert sorted(str(r.url) for r in lines) == ["None", "https://a.example/u5", "u1"] and all(r.content_hash.startswith(r.prefix) for r in lines)
+
+
+def review_log(spark):
+    rows = [
+        (1, "d", "r", "u2", "Additional reporting by Bob Howard for BBC"), (2, "d", "r", "u1", "Additional reporting by Ann Lee for BBC"),
+        (3, "d", "x", "", "Read this"), (4, "d", "x", None, "Other that"), (5, None, None, "u5", "No domain here"), (6, "e", "r", "u6", None), (7, "e", "r", "u7", "all rights reserved"), (8, "f", "r", "u8", "Leave me"),
+    ]
+    return spark.createDataFrame([(*r, None, None, None, "clash") for r in rows], "candidate_id bigint, domain string, reason string, url string, fragment string, reviewed boolean, discarded boolean, promoted boolean, pattern string")
+
+
+def test_review(spark):
+    """Groups without a shared pattern are proposed fragment by fragment; null domains and reasons are a group too."""
+    log = review_log(spark)
+    made = {r.candidate_id: (r.pattern, r.generalized) for r in K.proposals(log).collect()}
+    general = "^Additional reporting by.+for BBC$"
+    assert made == {1: (general, True), 2: (general, True), 3: ("^Read this$", False), 4: ("^Other that$", False), 5: ("^No domain here$", False), 8: ("^Leave me$", False)}
+    decisions = spark.createDataFrame([("d", "r", general, "y"), ("d", "x", "^Read this$", "n"), (None, None, "^No domain here$", "y"), ("f", "r", "^Leave me$", "q")], "domain string, reason string, pattern string, choice string")
+    flagged, patterns = K.review(log, decisions)
+    assert {r.candidate_id: (r.reviewed, r.promoted) for r in flagged.collect() if r.reviewed} == {1: (True, True), 2: (True, True), 3: (True, None), 5: (True, True)}
+    assert {(r.pattern, r.n, r.example) for r in patterns.collect()} == {(general, 2, "u1"), ("^No domain here$", 1, "u5")}
+    # Approved patterns are active in the next step.
+    left = K.proposals(log, [r.pattern for r in patterns.collect()])
+    assert {r.candidate_id for r in left.collect()} == {3, 4, 8}
+    ends = {c: {r.candidate_id for r in K.end_of_run(log, c, decisions).collect() if r.discarded or r.reviewed} for c in "rdsq"}
+    assert ends == {"r": {1, 2, 3, 5}, "d": {1, 2, 3, 4, 5, 8}, "s": set(), "q": set()}
+    assert K.review(log.limit(0), decisions.limit(0))[0].count() == 0
+
+
+def test_pattern_table(spark, tmp_path):
+    path = str(tmp_path / "patterns")
+    M.append_patterns(spark.createDataFrame([("d", "r", "^b$", False, 1, "u"), ("d", "r", "^(a$", False, 1, None)], "domain string, reason string, pattern string, generalized boolean, n bigint, example string"), path, "2026-01-02")
+    M.append_patterns(spark.createDataFrame([("d", "r", "^a$", False, 1, "u"), ("e", "r", "^b$", True, 1, "u")], "domain string, reason string, pattern string, generalized boolean, n bigint, example string"), path, "2026-01-01")
+    assert M.read_patterns(spark, path) == ["^a$", "^b$"]
+
+
+def test_judges(spark):
+    from corpusloom.functions import judges as J
+
+    def fails():
+        raise OSError("no model")
+
+    seen = spark.createDataFrame([("u1", "x" * 3000, "is"), ("u2", "Línan\nönnur 2", "is"), ("u3", None, "is"), ("u4", "", None)], "url string, text string, lang_folder string")
+    loaders = {"glotlid": lambda: lambda t: (f"__label__isl_Latn", 0.3 if len(t) == 2000 else 0.2), "openlid": fails, "lingua": lambda: lambda t: ("kl", 0.5) if "\n" in t else ("is", 0.5)}
+    hints = spark.createDataFrame([("u1", "da"), ("u3", "da")], "url string, code string")
+    got = sorted(tuple(r) for r in J.panel_votes(seen, loaders, hints, codes=["is"]).collect())
+    assert got == [("u1", 0, "glotlid", "is", 0.3), ("u1", 2, "lingua", "is", 0.5), ("u1", 4, "site_hint", "da", 0.65), ("u2", 2, "lingua", "is", 0.5)]
+    assert J.judge(seen, "openlid", lambda: lambda t: ("isl", 1.0) if t == "línan önnur " else None, preprocess=True).select("url", "code").collect() == [("u2", "is")]
+    assert J.panel_votes(seen, {}).count() == 0 and J.panel_votes(seen.limit(0), loaders, hints).count() == 0
+    assert [r.lemmas for r in J.lemmatize(seen.where("url = 'u2'")).collect()] == ["Línan önnur 2"]
+
+
+def test_language_ask_stops_when_spent(spark):
+    rows = spark.createDataFrame([(f"u{i}", "stop" if i == 2 else f"text {i}" * 900) for i in range(5)], "url string, text string").coalesce(1)
+    got = {r.url: r.raw for r in R.ask_language(rows, lambda t: None if t == "stop" else str(len(t))).collect()}
+    assert got == {"u0": "2000", "u1": "2000", "u2": None, "u3": None, "u4": None}
+    assert {r.raw for r in R.ask_language(rows).collect()} == {None}
+
+
+def sited(spark, rows):
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string, article_selector string, exclude_selectors array<string>, html_later string, article string")
+
+
+def test_page_cascade(spark):
+    """The first success wins: the site's selector, the general extractor (with a later snapshot), known containers."""
+    s = "The council met on Tuesday to discuss the repair of the long bridge over the river."
+    t = "Nobody voted against the plan, said the mayor of the town, and the work begins in May."
+    ps = f"<p>{s}<p>{t}<p>{s} Again.<p>Short"
+    rows = [
+        (1, "u1", f"<article>{ps}<div class='share'><p>{s} share</p></div></article>", "article", ["[class*='share']"], None, None),
+        (2, "u2", f"<main>{ps}</main>", "article", None, None, None),
+        (3, "u3", f"<div id='article-body'><p>{s}<p>© {s}</div><p>{t}", None, None, None, None),
+        (4, "u4", None, "article", [], None, None),
+        (5, "u5", f"<div>{ps}</div>", None, None, f"<div>{ps}<p>{t} Later.</div>", None),
+        (6, "u6", f"<p>{s}<p>All rights reserved", ".nothing", [], None, None),
+    ]
+    got = {r.page_id: (r.how, r.article) for r in E.cascade(sited(spark, rows)).collect()}
+    assert got[1] == ("override", "\n\n".join([s, t, f"{s} Again."])) and got[2] == ("general", "\n\n".join([s, t, f"{s} Again."]))
+    assert got[3] == ("fallback", s) and got[4] == (None, None) and got[6] == ("fallback", s)
+    assert got[5][0] == "general" and got[5][1].endswith("Later.")
+    own = {r.page_id: r.how for r in E.cascade(sited(spark, rows), lambda html, url: 1 / 0).collect()}
+    assert own[1] == "override" and own[2] == own[5] == "fallback"
+    assert E.cascade(sited(spark, rows).limit(0)).count() == 0
+
+
+def test_scrape(spark, tmp_path):
+    body = "".join(f"<p>The council met on day {i} to discuss the repair of the long bridge over the river.</p>" for i in range(5))
+    rows = [(1, "https://a.example/one", f"<article>{body}</article>", "article", None, None, None), (2, "https://a.example/two", f"<article>{body.upper()}</article>", "article", None, None, None), (3, "https://a.example/three", "<p>Wait", None, None, None, None), (4, None, "<p>Wait", None, None, None, None)]
+    later = [(3, "https://a.example/three", f"<main>{body}<p>And one more paragraph of the article.</main>", None, None, None, None)]
+    languages = spark.createDataFrame([("a.example", "", "is", True)], "domain string, prefix string, code string, locked boolean")
+    votes = spark.createDataFrame([], "url string, seq int, judge string, code string, confidence double")
+    made = pipeline.scrape(sited(spark, rows), languages, votes, again=sited(spark, later))
+    assert {(r.page_id, r.status, r.tries) for r in made.status.collect()} == {(1, "saved", 1), (2, "duplicate", 1), (3, "saved", 2), (4, "failed", 2)}
+    files = {(r.page_id, r.variant): r for r in made.files.collect()}
+    assert set(files) == {(1, "raw"), (1, "lemmatized"), (3, "raw"), (3, "lemmatized")} and files[1, "lemmatized"].filename.endswith("__lemma.txt") and files[1, "raw"].lang_folder == "is"
+    assert made.manifest.count() == 3
+    seen = made.manifest.where("url like '%one'")
+    assert {r.page_id for r in pipeline.scrape(sited(spark, rows), languages, votes, seen=seen, lemmas=False).files.collect()} == set()
+
+
+def test_inspector(spark):
+    body = "".join(f"<p>The council met on day {i} to discuss the repair of the long bridge.</p>" for i in range(8))
+    share = "<div class='share-box'><p>Share this article with all of your friends</p></div>"
+    rows = [(1, "https://www.A.example/x", f"<main>{body}{share}{share}<footer><p>All rights reserved by us</p></footer></main>"), (2, "https://b.example/", "<div><p>Please wait</p></div>"), (3, "https://c.example/", f"<div>{body}</div>"), (4, None, None), (5, "u", f"<main>{share}<article>{body}</article></main>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r for r in D.inspect(D.nodes(pages), pages).collect()}
+    assert (got[1].article_selector, got[1].exclude_selectors, got[1].n_checks, got[1].domain) == ("main", ["footer", "[class*='share-box']"], 0, "a.example")
+    assert got[5].article_selector == "article" and got[5].exclude_selectors == []
+    assert [got[i].diagnosis for i in (1, 2, 3, 4)] == ["ok", "no_text", "no_container", "no_text"]
+
+
+def test_command_line(spark, tmp_path):
+    from corpusloom import __main__ as cli
+
+    out, body = str(tmp_path / "out"), "".join(f"<p>The council met on day {i} to discuss the repair of the long bridge over the river.</p>" for i in range(5))
+    spark.createDataFrame([(1, "https://www.ruv.is/frettir", "<a href='/frettir/one-two-three-four/'>x</a><a href='/um'>y</a>")], "page_id bigint, url string, html string").write.parquet(str(tmp_path / "listings"))
+    pages = [(1, "https://www.ruv.is/frettir/one-two-three-four", f"<div class='article-body'>{body}</div>"), (2, "https://www.ruv.is/um", body), (3, "https://b.example/c", f"<main>{body}More</main>")]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(str(tmp_path / "pages"))
+    assert cli.main(["auto", "--pages", str(tmp_path / "pages"), "--listings", str(tmp_path / "listings"), "--out", out], spark) == 0
+    assert {(r.lang_folder, r.variant) for r in spark.read.parquet(f"{out}/articles").collect()} == {("is", "raw"), ("is", "lemmatized")}
+    assert cli.auto(spark, str(tmp_path / "pages"), str(tmp_path / "listings"), out).count() == 0
+    (tmp_path / "urls.txt").write_text("https://b.example/c/?x=1\n\nhttps://b.example/c\n")
+    assert [tuple(r) for r in cli.given(spark, str(tmp_path / "pages"), str(tmp_path / "urls.txt"), out).collect()] == [("duplicate", 1)]
+    M.append_log(review_log(spark).select("domain", "url", "fragment", "reason", "reviewed", "discarded", "promoted"), f"{out}/candidates")
+    (tmp_path / "decisions.json").write_text('{"domain": "d", "reason": "x", "pattern": "^Read this$", "choice": "y"}\n')
+    assert cli.main(["review", "--out", out, "--decisions", str(tmp_path / "decisions.json")], spark) == 0
+    assert M.read_patterns(spark, f"{out}/patterns") == ["^Read this$"]
+    assert cli.main(["clear", "--out", out], spark) == 1 and os.path.exists(f"{out}/articles")
+    assert cli.main(["clear", "--out", out, "--yes"], spark) == 0 and not os.path.exists(f"{out}/articles") and cli.main(["delete", "--out", out, "--yes"], spark) == 0
 
 
 def test_entry(spark):
