@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import table
+from ..session import spread, table
 from . import p1_main_content, p2_near, p3_language, p4_residue, p5_repetition, p6_lookalikes, p7_site_lines, p8_encode, p9_mix, p10_spans
 from ._common import fragments, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Tables that grow; where one lies in fewer files than there are cores it is spread over them.
+LARGE = ("documents", "scraped_urls")
+
+
 def over(fn: Callable[..., DataFrame], *tables: str) -> Query:
-    return lambda spark, sf_dir: fn(*(table(spark, sf_dir, t) for t in tables))
+    return lambda spark, sf_dir: fn(*(spread(table(spark, sf_dir, t)) if t in LARGE else table(spark, sf_dir, t) for t in tables))
 
 
 def queries() -> dict[str, Query]:
