@@ -68,20 +68,22 @@ def looks_like_boilerplate(c: Column, extra: list[str] | None = None) -> Column:
     Whole-paragraph literals are a set look-up. Each free pattern is searched only where a text that it needs stands,
     and "all of these words" is asked of single lines, as its look-aheads don't go past a line feed.
     """
-    bare = strip(c)
-    low = F.lower(bare)
     anchored = [p for p in C.PATTERNS if p.startswith("^")]
     free = [p for p in C.PATTERNS if not p.startswith("^")]
-    found = low.isin([x.lower() for x in C.LITERALS]) | low.rlike(f"(?Ud)^(?:{'|'.join(p[1:] for p in anchored)})")
-    for p in free:
-        needs = C.NEEDS[p]
-        found = found | ((low.rlike(needs[1:]) if needs.startswith("~") else low.contains(needs)) & low.rlike(f"(?Ud){p}"))
-    if extra:
-        found = found | matches(bare, extra)
-    together, on_line = F.lit(True), lambda line: reduce(lambda a, w: a & line.rlike(rf"(?U)\b{w}\b"), C.ALL_OF, F.lit(True))
-    for w in C.ALL_OF:
-        together = together & low.contains(w)
-    return found | (together & F.exists(F.split(low, "\n"), on_line))
+
+    def on_line(line: Column) -> Column:
+        return reduce(lambda a, w: a & line.rlike(rf"(?U)\b{w}\b"), C.ALL_OF, F.lit(True))
+
+    def covered(low: Column) -> Column:
+        found = low.isin([x.lower() for x in C.LITERALS]) | low.rlike(f"(?Ud)^(?:{'|'.join(p[1:] for p in anchored)})")
+        for p in free:
+            needs = C.NEEDS[p]
+            found = found | ((low.rlike(needs[1:]) if needs.startswith("~") else low.contains(needs)) & low.rlike(f"(?Ud){p}"))
+        together = reduce(lambda a, w: a & low.contains(w), C.ALL_OF, F.lit(True)) & F.exists(F.split(low, "\n"), on_line)
+        return found | together | matches(low, extra) if extra else found | together
+
+    # A lambda over one element binds the lower case once; inside other lambdas it would be computed for every test.
+    return F.exists(F.array(F.lower(strip(c))), covered)
 
 
 def is_end_marker(c: Column) -> Column:
@@ -89,7 +91,7 @@ def is_end_marker(c: Column) -> Column:
 
 
 def without_read_more(c: Column) -> Column:
-    has_one = F.contains(F.lower(c), F.lit("me")) & F.lower(F.right(strip(c), F.lit(40))).rlike("|".join(C.READ_MORE))
+    has_one = F.lower(F.right(strip(c), F.lit(max(map(len, C.READ_MORE))))).rlike("|".join(C.READ_MORE))
     return F.when(has_one, F.regexp_replace(c, rf"{FLAGS}\s*(?:{'|'.join(C.READ_MORE)})\s*$", "")).otherwise(c)
 
 
