@@ -56,28 +56,34 @@ def scrape(pages: DataFrame, languages: DataFrame, vote_rows: DataFrame, seen: D
     duplicates: not filed, but entered in the manifest. ``lemmas`` (loader by language, see ``judges.lemmatize``) adds
     a second file of each article; False leaves it out.
     """
-    first = cut(extract.cascade(pages, general).withColumn("tries", F.lit(1)))
-    good, failed = first.where("article is not null"), first.where("article is null")
+    def read(from_: DataFrame, tries: int) -> DataFrame:
+        made = extract.cascade(from_, general)
+        return cut(made.select("page_id", "url", "article", T.content_hash(F.col("article")).alias("content_hash"), F.lit(tries).alias("tries")))
+
+    every = read(pages, 1)
+    failed = every.where("article is null").select("page_id", "url")
     if again is not None:
-        second = cut(extract.cascade(again.join(failed.select("page_id"), "page_id", "left_semi"), general).withColumn("tries", F.lit(2)))
-        good = good.unionByName(second.where("article is not null"))
-        left = failed.join(second.where("article is not null").select("page_id"), "page_id", "left_anti")
-        failed = left.withColumn("tries", F.lit(2))
-    good = cut(good.withColumn("content_hash", T.content_hash(F.col("article"))))
-    heads = good.select("page_id", "content_hash").groupBy("content_hash").agg(F.min("page_id").alias("page_id"))
+        second = read(again.join(failed.select("page_id"), "page_id", "left_semi"), 2).where("article is not null")
+        failed = failed.join(second.select("page_id"), "page_id", "left_anti")
+        every = every.unionByName(second)
+    good = every.where("article is not null")
+    # All that follows is told from keys and hashes; the articles join their place once.
+    narrow = good.select("page_id", "url", "tries", "content_hash").distinct()
+    heads = narrow.groupBy("content_hash").agg(F.min("page_id").alias("page_id"))
     if seen is not None:
         heads = ordering.not_in(heads, seen, "content_hash")
-    heads = cut(heads)
-    saved = good.join(heads.select("page_id"), "page_id", "left_semi").dropDuplicates(["page_id"])
-    marked = good.select("page_id", "url", "tries", "content_hash").join(heads.select("page_id", F.lit("saved").alias("_saved")), "page_id", "left")
-    status = marked.select("page_id", "url", F.coalesce("_saved", F.lit("duplicate")).alias("status"), "tries").unionByName(failed.select("page_id", "url", F.lit("failed").alias("status"), "tries"))
-    routed = votes.route(saved.select("page_id", "url", F.col("article").alias("text")), languages, vote_rows).drop("how")
+    heads = cut(heads.select("page_id", "content_hash"))
+    marked = narrow.join(heads.withColumn("_saved", F.lit("saved")), ["page_id", "content_hash"], "left")
+    status = marked.select("page_id", "url", F.coalesce("_saved", F.lit("duplicate")).alias("status"), "tries").unionByName(failed.select("page_id", "url", F.lit("failed").alias("status"), F.lit(1 if again is None else 2).alias("tries")))
+    placed = votes.route(marked.where("_saved is not null").select("page_id", "url").dropDuplicates(["page_id"]), languages, vote_rows).select("page_id", "url", "lang_folder")
+    saved = good.select("page_id", "content_hash", F.col("article").alias("text")).join(heads, ["page_id", "content_hash"], "left_semi").drop("content_hash")
+    routed = placed.join(saved, "page_id").dropDuplicates(["page_id"]).select("page_id", "url", "text", "lang_folder")
     norm = U.normalize_url(F.col("url"))
     files = routed.withColumn("variant", F.lit("raw")).withColumn("filename", U.safe_filename(norm))
     if lemmas is not False:
         lemmatized = judges.lemmatize(routed, *([lemmas] if lemmas else [])).withColumn("text", F.col("lemmas")).drop("lemmas")
         files = files.unionByName(lemmatized.withColumn("variant", F.lit("lemmatized")).withColumn("filename", U.safe_filename(norm, "lemma")))
-    return Run(files, status, good.select(norm.alias("url"), "content_hash"))
+    return Run(files, status, narrow.select(norm.alias("url"), "content_hash"))
 
 
 def auto(listing: DataFrame, manifest: DataFrame, prefixes: DataFrame) -> DataFrame:
