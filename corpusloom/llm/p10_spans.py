@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from ._common import MASK, map_rows, mix64, pairs_within
+from ._common import MASK, list_array, map_rows, mix64, pairs_within
 
 LENGTH = 250
 K = 128
@@ -85,10 +85,13 @@ def super_kmers(lines: list[np.ndarray], length: int, k: int) -> tuple[np.ndarra
 
 
 def minimisers(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """doc_id, line_no, head, tail, minimiser of every super-k-mer (``head`` from 0, ``tail`` exclusive)."""
+    """Per document lists of equal length: line_no, head, tail, minimiser of every super-k-mer (``head`` from 0, ``tail``
+    exclusive). A document of more than CHUNK characters may come in several rows."""
 
     def block(rows: dict) -> dict:
-        out: dict[str, list] = {n: [] for n in ("doc_id", "line_no", "head", "tail", "minimiser")}
+        ids: list[int] = []
+        sizes: list[np.ndarray] = []
+        out: dict[str, list] = {n: [] for n in ("line_no", "head", "tail", "minimiser")}
         lines: list[np.ndarray] = []
         where: list[tuple[int, int]] = []
         held = 0
@@ -97,31 +100,39 @@ def minimisers(documents: DataFrame, length: int = LENGTH, k: int = K) -> DataFr
             nonlocal lines, where, held
             if lines:
                 line, head, tail, least = super_kmers(lines, length, k)
-                keys = np.array(where, dtype=np.int64)[line]
-                for name, x in zip(out, (keys[:, 0], keys[:, 1].astype(np.int32), head.astype(np.int32), tail.astype(np.int32), least.view(np.int64))):
+                of = np.array(where, dtype=np.int64)[line]
+                row, count = np.unique(of[:, 0], return_counts=True)
+                ids.extend(rows["doc_id"][r] for r in row)
+                sizes.append(count)
+                for name, x in zip(out, (of[:, 1].astype(np.int32), head.astype(np.int32), tail.astype(np.int32), least.view(np.int64))):
                     out[name].append(x)
             lines, where, held = [], [], 0
 
-        for key, text in zip(rows["doc_id"], rows["text"]):
+        for at, (key, text) in enumerate(zip(rows["doc_id"], rows["text"])):
             if key is None or not text or len(text) < length:
                 continue
             for no, line in enumerate(text.split("\n"), 1):
                 line = line[:-1] if line.endswith("\r") else line
                 if len(line) >= length:
                     lines.append(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
-                    where.append((key, no))
+                    where.append((at, no))
                     held += len(line)
                     if held > CHUNK:
                         flush()
         flush()
-        return {n: pa.array(np.concatenate(x)) if x else [] for n, x in out.items()}
+        if not ids:
+            return None
+        counts = np.concatenate(sizes)
+        return {"doc_id": ids} | {n: list_array(np.concatenate(x), counts, pa.int64() if n == "minimiser" else pa.int32()) for n, x in out.items()}
 
-    return map_rows(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), "doc_id bigint, line_no int, head int, tail int, minimiser bigint", block)
+    schema = "doc_id bigint, line_no array<int>, head array<int>, tail array<int>, minimiser array<bigint>"
+    return map_rows(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), schema, block)
 
 
 def packed(documents: DataFrame, length: int, k: int) -> DataFrame:
     """The super-k-mers whose minimiser stands in several documents, with their text: one row per place."""
-    places = cut(minimisers(documents, length, k))
+    lists = cut(minimisers(documents, length, k))
+    places = lists.select("doc_id", F.explode(F.arrays_zip("line_no", "head", "tail", "minimiser")).alias("p")).select("doc_id", "p.*")
     shared = places.groupBy("minimiser").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a <> b").select("minimiser")
     kept = places.join(shared, "minimiser", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "head", "tail", "minimiser")).alias("places"))
     doc = documents.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
