@@ -16,6 +16,8 @@ from . import constants as C
 from . import text as T
 
 LIMIT = 2000
+#: Texts handled at once by the lemmatizer inside a worker.
+ROWS = 256
 Loader = Callable[[], Callable[[str], tuple[str, float] | None]]
 
 
@@ -69,7 +71,7 @@ def lemmatize(documents: DataFrame, load: Callable[[str], Callable[[str], list[s
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         loaded: dict[str, Callable] = {}
-        for f in frames:
+        for f in (whole.iloc[at : at + ROWS] for whole in frames for at in range(0, len(whole), ROWS)):
             out = []
             for code, t in zip(f["lang_folder"], f["text"]):
                 if code not in loaded:

@@ -19,6 +19,8 @@ from ..functions import text as T
 
 SCHEMA = "page_id bigint, pre int, post int, parent int, tag string, id string, class string, role string, itemprop string, component string, text string"
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Pages handled at once inside a worker.
+ROWS = 256
 #: Elements that end an open paragraph where they start.
 CLOSES_P = frozenset("p address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol pre section table ul".split())
 ATTRIBUTES = {"class": "class", "id": "id", "role": "role", "itemprop": "itemprop", "data-component": "component"}
@@ -95,7 +97,7 @@ def nodes(pages: DataFrame) -> DataFrame:
     """dom_nodes of pages (page_id, html), parsed once per page; null html has none."""
 
     def run(frames):
-        for f in frames:
+        for f in (whole.iloc[at : at + ROWS] for whole in frames for at in range(0, len(whole), ROWS)):
             out = []
             for page, html in zip(f["page_id"], f["html"]):
                 tree = Tree()

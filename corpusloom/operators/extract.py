@@ -17,6 +17,8 @@ from ..functions import text as T
 from . import dom as D
 from . import paragraphs as P
 
+#: Pages handled at once inside a worker; bounds its memory whatever the Arrow batch size is.
+ROWS = 256
 MIN_OVERRIDE, MIN_FALLBACK, ACCEPT, SHORT = 20, 40, 200, 500
 Extractor = Callable[[str, str | None], str | None]
 
@@ -97,7 +99,7 @@ def extracted(pages: DataFrame, general: Extractor | None = None) -> DataFrame:
             return None
 
     def run(frames):
-        for f in frames:
+        for f in (whole.iloc[at : at + ROWS] for whole in frames for at in range(0, len(whole), ROWS)):
             out: dict[str, list] = {k: [] for k in ("page_id", "url", "override", "general", "fallback", "page_chars", "n_paras")}
             for row in f.to_dict("records"):
                 html, url = row["html"], row["url"]
