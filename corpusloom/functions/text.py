@@ -58,10 +58,6 @@ def matches(c: Column, patterns: list[str]) -> Column:
     return c.rlike(pattern) if pattern else F.lit(False)
 
 
-def boilerplate_patterns() -> list[str]:
-    return [*C.PATTERNS, *(f"^{escaped(x)}$" for x in C.LITERALS)]
-
-
 def looks_like_boilerplate(c: Column, extra: list[str] | None = None) -> Column:
     """Whether an active pattern is found in a paragraph, whatever its case.
 
