@@ -199,8 +199,7 @@ def learn(documents: DataFrame) -> DataFrame:
         followed: Counter = Counter()
         for source, key, after in follows:
             add(source, "line", key, 0, 1)
-            # What recurs within the block is not rare among all documents either.
-            if after and count.get((source, "line", after), [0])[0] <= 1:
+            if after:
                 followed[source, key, after] += 1
         keys, pairs = list(count), list(followed)
         return {
@@ -218,9 +217,10 @@ def learn(documents: DataFrame) -> DataFrame:
     sizes = summed.where("kind = 'size'").select("source", F.col("n").alias("size"))
     needed = F.greatest(F.when(F.col("kind") == "masked", LEAST_DOCS + 2).otherwise(LEAST_DOCS), F.ceil(F.col("size") * F.when(F.col("kind") == "line", SHARE).when(F.col("kind") == "masked", MASKED_SHARE).otherwise(0.004)))
     kept = summed.where("kind <> 'size'").join(sizes, "source").where(F.col("n") >= needed).drop("size")
-    # A follower is rare if at most one document of the source has it: lines of two and more are all in ``summed``.
+    # A follower is rare if it stands in one document or in less than SHARE of the source's. A share, as teasers recur in
+    # a large source: the same headline is listed under many articles.
     labels = kept.where("kind = 'line' and k >= 2").select("source", "item")
-    recurring = summed.where("kind = 'line'").select("source", F.col("item").alias("after"))
+    recurring = summed.where("kind = 'line'").join(sizes, "source").where(F.col("n") >= F.greatest(F.lit(2), F.ceil(F.col("size") * SHARE))).select("source", F.col("item").alias("after"))
     rare = every.where("kind = 'follow'").join(labels, ["source", "item"], "left_semi").join(recurring, ["source", "after"], "left_anti")
     m = rare.groupBy("source", "item").agg(F.sum("n").alias("m")).withColumn("kind", F.lit("line"))
     return kept.join(m, ["source", "kind", "item"], "left").select("source", "kind", "item", "n", F.coalesce("m", F.lit(0)).cast("bigint").alias("m"), "k")

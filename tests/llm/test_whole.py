@@ -23,3 +23,11 @@ def test_rare_followers_are_told_from_all_documents(spark):
     made = spark.createDataFrame(rows, "doc_id int, text string, source string")
     whole, split = ({(r.kind, r.item): (r.n, r.m, r.k) for r in p1.learn(made.orderBy(key).repartitionByRange(parts, key)).collect()} for parts, key in ((1, "doc_id"), (10, F.col("doc_id") % 10)))
     assert whole == split and whole["line", "read also"] == (20, 0, 20)
+
+
+def test_teasers_that_recur_in_a_large_source_stay_behind_their_label(spark):
+    body = "The council met on Tuesday to discuss the repair of the long bridge over the river, and the harbour stayed closed all day."
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    rows = [(i, f"Headline of day {word(i)}\n{body}\n{body}\nRead also\nThe ferry waits for a new {word(i // 3)} captain", "s") for i in range(450)]
+    made = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    assert {tuple(r) for r in p1.found(made).collect()} == {(i, n) for i in range(450) for n in (4, 5)}
