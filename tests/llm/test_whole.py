@@ -1,7 +1,10 @@
 """The training-text operators where a short cut once left something out."""
 
+import random
+
 import pytest
 from corpusloom.llm import p1_main_content as p1
+from corpusloom.llm import p2_near as p2
 from corpusloom.llm import p4_residue as p4
 from pyspark.sql import functions as F
 
@@ -31,3 +34,31 @@ def test_teasers_that_recur_in_a_large_source_stay_behind_their_label(spark):
     rows = [(i, f"Headline of day {word(i)}\n{body}\n{body}\nRead also\nThe ferry waits for a new {word(i // 3)} captain", "s") for i in range(450)]
     made = spark.createDataFrame(rows, "doc_id int, text string, source string")
     assert {tuple(r) for r in p1.found(made).collect()} == {(i, n) for i in range(450) for n in (4, 5)}
+
+
+def edited_addresses():
+    """Addresses of few sites and sections, each with edited ones about the threshold, and the pairs of 0.75 and more."""
+    rnd = random.Random(11)
+    names = ["".join(rnd.choice(["ba", "ke", "lo", "stu", "vik", "dal", "mo"]) for _ in range(3)) for _ in range(60)]
+    made = []
+    for _ in range(250):
+        words = [rnd.choice(names) for _ in range(6)]
+        key = "".join(rnd.choice("abcdefgh0123456789") for _ in range(8))
+        form = lambda w: f"post{rnd.randrange(2)}.example/news/2026/{'-'.join(w)}-{key}"  # noqa: B023, E731
+        other = [*words[:2], rnd.choice(names), *words[3:]]
+        made += [form(words), form(words) + f";sid={rnd.randrange(10**12)}", form(other), form([words[1], words[0], *words[2:]])]
+    made = sorted(set(made))
+    sets = [{x[i : i + 4] for i in range(len(x) - 3)} for x in made]
+    pairs = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if len(a & b) / len(a | b) >= 0.75}
+    return [(i, f"https://{x}") for i, x in enumerate(made)], {(j, i) for i, j in pairs}
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_all_pairs_of_near_addresses(spark, monkeypatch, hot):
+    if hot:
+        monkeypatch.setattr(p2, "PROBE", 1)
+        monkeypatch.setattr(p2, "HOT", 5)
+        monkeypatch.setattr(p2, "PAIRS", 50)
+    rows, true = edited_addresses()
+    links, members = p2.url_links(spark.createDataFrame(rows, "seq bigint, url string"))
+    assert {tuple(r) for r in p2.expand(links, members).collect()} == true and len(true) > 400
