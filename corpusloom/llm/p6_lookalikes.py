@@ -1,12 +1,13 @@
 """Problem 6: visually identical text with different characters.
 
-``consistent`` brings texts to one form in two stages. The first tells inside the JVM which texts hold any character
-that isn't settled; all others pass as they are. ``differing`` is the same stage asked in full: it goes on to tell which of
-these characters stand in for others. The second stage mends the texts in Python: full-width
+``repair`` brings texts to one form in two stages. The first tells inside the JVM which texts hold any character
+that isn't settled, and whether one of them stands in for others (``differs``); all others pass as they are. The second
+stage mends the texts in Python: full-width
 forms to ASCII, composed accents, plain spaces, no zero-width characters, and script-aware repair of words: the dominant
 script of a word is told from its letters, look-alikes of the other scripts are substituted only in mixed-script words,
 and only when the result stands in the corpus vocabulary (the unmixed words of all texts, counted whole). Words wholly
-of one script, quotes, dashes, superscripts, fractions and emoji stay. ``found`` gives the keys that ``differing`` tells.
+of one script, quotes, dashes, superscripts, fractions and emoji stay. ``consistent`` gives the texts of the repair, ``found``
+the keys of those that it met in another form, mended or not: a word that the vocabulary doesn't know is a case too.
 
 Null texts stay null and are flagged nothing; empty texts stay empty. Words are pieces between white space.
 """
@@ -72,11 +73,6 @@ def differs(text: F.Column) -> F.Column:
     return F.coalesce(text.rlike(f"[^{SETTLED}]") & detail, F.lit(False))
 
 
-def differing(records: DataFrame) -> DataFrame:
-    """record_kind, record_id of the texts that are not in their consistent form."""
-    return records.where(differs(F.col("text"))).select("record_kind", "record_id")
-
-
 _full = str.maketrans({chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)})
 _zero = re.compile("[᠎​‌‎‏⁠-⁤﻿]|(?<![←-⯿️\U0001f000-\U0001faff])‍|‍(?![←-⯿\U0001f000-\U0001faff])")
 _space = re.compile("[   ]")
@@ -131,11 +127,12 @@ def bare(word: str) -> str:
     return _edge.sub("", word).lower()
 
 
-def consistent(records: DataFrame) -> DataFrame:
-    """record_kind, record_id, text (in its consistent form), changed, of every record."""
+def repair(records: DataFrame) -> DataFrame:
+    """record_kind, record_id, text (in its consistent form), changed, differed (was not in it), of every record."""
+    shape = "record_kind string, record_id bigint, text string, changed boolean, differed boolean"
     staged = records.select("record_kind", "record_id", "text", F.coalesce(F.col("text").rlike(f"[^{SETTLED}]"), F.lit(False)).alias("odd"))
-    settled = staged.where("not odd").select("record_kind", "record_id", "text", F.lit(False).alias("changed"))
-    plain = map_rows(staged.where("odd").select("record_kind", "record_id", "text"), "record_kind string, record_id bigint, text string, changed boolean, doubtful array<string>", _simplify)
+    settled = staged.where("not odd").select("record_kind", "record_id", "text", F.lit(False).alias("changed"), F.lit(False).alias("differed"))
+    plain = map_rows(staged.where("odd").select("record_kind", "record_id", "text", differs(F.col("text")).alias("differed")), shape + ", doubtful array<string>", _simplify)
     plain = cut(plain)
 
     def block(rows: dict) -> dict:
@@ -152,13 +149,23 @@ def consistent(records: DataFrame) -> DataFrame:
     known = corrected.join(vocabulary.distinct(), corrected.bare == vocabulary.word, "left_semi").select("word", "better")
     per = plain.where(F.size("doubtful") > 0).select("record_kind", "record_id", F.explode("doubtful").alias("word")).join(known, "word")
     fixes = per.groupBy("record_kind", "record_id").agg(F.map_from_entries(F.collect_set(F.struct("word", "better"))).alias("fixes"))
-    joined = plain.where(F.size("doubtful") > 0).join(fixes, ["record_kind", "record_id"], "left").select("record_kind", "record_id", "text", "changed", "fixes")
-    mended = map_rows(joined, "record_kind string, record_id bigint, text string, changed boolean", _mend)
-    return settled.unionByName(plain.where(F.size("doubtful") == 0).select("record_kind", "record_id", "text", "changed")).unionByName(mended)
+    joined = plain.where(F.size("doubtful") > 0).join(fixes, ["record_kind", "record_id"], "left").select("record_kind", "record_id", "text", "changed", "differed", "fixes")
+    mended = map_rows(joined, shape, _mend)
+    return settled.unionByName(plain.where(F.size("doubtful") == 0).drop("doubtful")).unionByName(mended)
+
+
+def consistent(records: DataFrame) -> DataFrame:
+    """record_kind, record_id, text (in its consistent form), changed, of every record."""
+    return repair(records).drop("differed")
+
+
+def differing(records: DataFrame) -> DataFrame:
+    """record_kind, record_id of the texts that the repair met in another form than the consistent one."""
+    return repair(records).where("differed").select("record_kind", "record_id")
 
 
 def _simplify(rows: dict) -> dict:
-    out: dict[str, list] = {"record_kind": rows["record_kind"], "record_id": rows["record_id"], "text": [], "changed": [], "doubtful": []}
+    out: dict[str, list] = {"record_kind": rows["record_kind"], "record_id": rows["record_id"], "text": [], "changed": [], "differed": rows["differed"], "doubtful": []}
     for text in rows["text"]:
         got = simple(text) if text else text
         out["text"].append(got)
@@ -173,7 +180,7 @@ def _corrections(words: list[str]) -> dict:
 
 
 def _mend(rows: dict) -> dict:
-    out: dict[str, list] = {"record_kind": rows["record_kind"], "record_id": rows["record_id"], "text": [], "changed": []}
+    out: dict[str, list] = {"record_kind": rows["record_kind"], "record_id": rows["record_id"], "text": [], "changed": [], "differed": rows["differed"]}
     for text, changed, fixes in zip(rows["text"], rows["changed"], rows["fixes"]):
         fixes = dict(fixes or [])
         got = re.sub(r"\S+", lambda m: fixes.get(m.group(), m.group()), text) if fixes else text
@@ -183,4 +190,4 @@ def _mend(rows: dict) -> dict:
 
 
 def found(documents: DataFrame, candidates: DataFrame) -> DataFrame:
-    return differing(texts(documents)).unionByName(differing(fragments(candidates))).distinct()
+    return differing(texts(documents).unionByName(fragments(candidates))).distinct()

@@ -6,6 +6,7 @@ import pytest
 from corpusloom.llm import p1_main_content as p1
 from corpusloom.llm import p2_near as p2
 from corpusloom.llm import p4_residue as p4
+from corpusloom.llm import p6_lookalikes as p6
 from pyspark.sql import functions as F
 
 
@@ -62,3 +63,14 @@ def test_all_pairs_of_near_addresses(spark, monkeypatch, hot):
     rows, true = edited_addresses()
     links, members = p2.url_links(spark.createDataFrame(rows, "seq bigint, url string"))
     assert {tuple(r) for r in p2.expand(links, members).collect()} == true and len(true) > 400
+
+
+def test_lookalikes_are_found_by_the_repair(spark):
+    rows = [(1, "the b\u0430nk was closed"), (2, "a bank and a school"), (3, "the \u0430zqv was closed"), (4, "x\u0302"), (5, "\u212b"), (6, None)]
+    records = spark.createDataFrame(rows, "doc_id bigint, text string")
+    none = spark.createDataFrame([], "candidate_id bigint, fragment string")
+    made = {r.record_id: (r.text, r.changed, r.differed) for r in p6.repair(p6.texts(records)).collect()}
+    assert made == {1: ("the bank was closed", True, True), 2: (rows[1][1], False, False), 3: (rows[2][1], False, True), 4: ("x\u0302", False, True), 5: ("\u00c5", True, False), 6: (None, False, False)}
+    got = p6.found(records, none)
+    assert {r.record_id for r in got.collect()} == {i for i, x in made.items() if x[2]}
+    assert "MapInArrow" in got._jdf.queryExecution().toString() and "LeftSemi" in got._jdf.queryExecution().toString()
