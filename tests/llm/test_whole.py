@@ -74,3 +74,18 @@ def test_lookalikes_are_found_by_the_repair(spark):
     got = p6.found(records, none)
     assert {r.record_id for r in got.collect()} == {i for i, x in made.items() if x[2]}
     assert "MapInArrow" in got._jdf.queryExecution().toString() and "LeftSemi" in got._jdf.queryExecution().toString()
+
+
+def test_documents_without_a_common_key_are_paired(spark, monkeypatch):
+    """A single bundle a collection finds few of the pairs; all must come out all the same."""
+    monkeypatch.setattr(p2, "DOC_BANDS", (3, 1))
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for _ in range(40):
+        base = [rnd.choice(words) for _ in range(80)]
+        rows += [(len(rows) + k, " ".join(rnd.choice(words) if k and rnd.random() < 0.03 * k else w for w in base)) for k in range(3)]
+    sets = {i: {tuple(w[j : j + 3]) for j in range(len(w) - 2)} for i, t in rows for w in [t.split()]}
+    true = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.7}
+    links, members = p2.document_links(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {tuple(r) for r in p2.expand(links, members).collect()} == true and len(true) > 30
