@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from corpusloom.llm import p1_main_content as p1
 from corpusloom.llm import p2_near as p2
@@ -89,3 +90,53 @@ def test_documents_without_a_common_key_are_paired(spark, monkeypatch):
     true = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.7}
     links, members = p2.document_links(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert {tuple(r) for r in p2.expand(links, members).collect()} == true and len(true) > 30
+
+
+def test_texts_are_read_once_and_again_only_to_verify(spark, monkeypatch):
+    read = []
+
+    def spied(df, real=p2.cut):
+        read.append("text#" in df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df)
+
+    monkeypatch.setattr(p2, "cut", spied)
+    rows = [(i, " ".join(f"w{(i // 2 * 60 + j) % 997}" for j in range(60 + i % 2))) for i in range(40)]
+    links, members = p2.document_links(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {tuple(r) for r in p2.expand(links, members).collect()} >= {(i, i + 1) for i in range(0, 40, 2)}
+    assert sum(read) == 2
+
+
+@pytest.mark.parametrize("marks", [1, 64, 1 << 24])
+def test_marks_leave_out_no_document(spark, monkeypatch, marks):
+    """A bitmap that is full or too small only lets more rows through: copies, and an id that stands twice, among them."""
+    monkeypatch.setattr(p2, "MARKS", marks)
+    ids = spark.range(2000).select("id")
+    told = p2.marked(ids, ids.where("id % 200 = 0"))
+    maybe = {r.id for r in told.where("maybe").collect()}
+    assert told.count() == 2000 and maybe >= set(range(0, 2000, 200)) and (marks > 64 or len(maybe) > 100) and (marks == 64 or len(maybe) == (10 if marks > 1 else 2000))
+    rnd = random.Random(9)
+    texts = [" ".join(f"w{rnd.randrange(300)}" for _ in range(80)) for _ in range(12)]
+    rows = [(12 * k + i, t + (" more" if k == 2 else "")) for k in range(3) for i, t in enumerate(texts)]
+    links, members = p2.document_links(spark.createDataFrame([*rows, rows[0]], "doc_id bigint, text string"))
+    assert {tuple(r) for r in links.select("id_a", "id_b").collect()} == {(i, 24 + i) for i in range(12)}
+    assert {tuple(r) for r in p2.expand(links, members).collect()} == {(12 * j + i, 12 * k + i) for i in range(12) for j, k in ((0, 1), (0, 2), (1, 2))}
+
+
+@pytest.mark.parametrize("shared", [1, 3])
+def test_pairs_of_rows_are_those_that_both_sizes_allow(shared):
+    """Against all pairs: neither record has more rarer items than it may lack."""
+    rnd, least = np.random.default_rng(3), 0.75
+    size = np.sort(rnd.integers(8, 60, 400)).astype(np.int32)
+    item = np.repeat([5, 9], 200)
+    size = np.concatenate([size[::2], size[1::2]])
+    place = (rnd.random(400) * (size * (1 - least) + shared)).astype(np.int32)
+    rows = {"id": np.arange(400), "item": item, "place": place, "size": size}
+    true = set()
+    for a in range(400):
+        for b in range(a):
+            lacks = (1 - least) / (1 + least) * (int(size[a]) + int(size[b])) + 1e-6
+            x, y, more = int(place[a]) - shared + 1, int(place[b]) - shared + 1, int(size[a]) - int(size[b])
+            if item[a] == item[b] and min(size[a], size[b]) >= least * max(size[a], size[b]) - 1e-6 and x + y <= lacks and 2 * x <= lacks + more and 2 * y <= lacks - more:
+                true.add((b, a))
+    got = [p for batch in p2.fitting(rows, ["item"], least, shared) for p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+    assert set(got) == true and len(got) == len(true) > 1000
